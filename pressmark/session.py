@@ -20,6 +20,7 @@ def local_session(cores: str = "*", app: str = "pressmark") -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("PRESSMARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
