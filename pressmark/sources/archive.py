@@ -74,6 +74,7 @@ def archive_links(pages: DataFrame, archive_list: Selector = ARCHIVE_LIST) -> Da
     return (
         accepted.select(F.col("url").alias("archive_url"), F.explode(hrefs).alias("href"))
         .select("archive_url", F.concat("archive_url", "href").alias("article_url"))
+        .distinct()
     )
 
 
