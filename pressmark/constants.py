@@ -92,7 +92,11 @@ def _unaccented() -> dict[str, str]:
     return letters
 
 
-ASCII_SINGLE = _unaccented() | {k: v for k, v in ASCII_FORMS.items() if len(v) == 1}
+ASCII_FORMS |= _unaccented()
+# Windows-1252 bytes take the form of the character they mean
+ASCII_FORMS |= {c1: ASCII_FORMS[char] for c1, char in zip(CP1252_FROM, CP1252_TO)}
+
+ASCII_SINGLE = {k: v for k, v in ASCII_FORMS.items() if len(v) == 1}
 ASCII_WIDER = {k: v for k, v in ASCII_FORMS.items() if len(v) > 1}
 
 # Named character references, from the standard library's table.

@@ -18,6 +18,7 @@ from pressmark.functions.text import decode_references, once
 # Attributes of a tag, quoted values whole; possessive, so a failed match never backtracks.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TO_ATTRIBUTE = r"""(?:\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))*?\s++"""
+_ANY_TAG = r"<[a-zA-Z/!?][^>]*+>"
 _NOT_NESTING = {"p", "h1", "title", "figcaption", "a", "meta"}
 _BLOCK = r"(?:p|div|ul|ol|h[1-6]|section|article|figure|footer|table)"
 
@@ -43,10 +44,10 @@ class Selector:
 
 def without_hidden(html: Column, keep_script: bool = False) -> Column:
     """Drop comments and, unless told otherwise, script and style elements."""
-    hidden = r"(?s)<!--.*?-->"
+    kinds = r"!--.*?-->"
     if not keep_script:
-        hidden += r"|<(?i:script)\b[^>]*>.*?</(?i:script)\s*>|<(?i:style)\b[^>]*>.*?</(?i:style)\s*>"
-    return F.regexp_replace(html, hidden, "")
+        kinds += r"|(?i:script)\b[^>]*+>.*?</(?i:script)\s*>|(?i:style)\b[^>]*+>.*?</(?i:style)\s*>"
+    return F.regexp_replace(html, f"(?s)<(?:{kinds})", "")
 
 
 def _inner_flat(html: Column, selector: Selector) -> Column:
@@ -131,14 +132,13 @@ def attribute(tag: Column, name: str) -> Column:
 
 def strip_tags(html: Column, keep_script: bool = False) -> Column:
     """Character data only: tags, declarations, comments and character references are dropped."""
-    text = F.regexp_replace(without_hidden(html, keep_script), r"</?[a-zA-Z][^>]*>|<[!?/][^>]*>", "")
+    text = F.regexp_replace(without_hidden(html, keep_script), _ANY_TAG, "")
     return F.regexp_replace(text, r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][-.a-zA-Z0-9]*);?", "")
 
 
 def visible_text(html: Column) -> Column:
-    """Text of an element: tags dropped without a space, character references decoded."""
-    text = F.regexp_replace(without_hidden(html), r"</?[a-zA-Z][^>]*>|<[!?/][^>]*>", "")
-    return decode_references(text)
+    """Text of HTML without hidden parts: tags dropped without a space, character references decoded."""
+    return decode_references(F.regexp_replace(html, _ANY_TAG, ""))
 
 
 def text_of(html: Column, selector: Selector) -> Column:
@@ -146,7 +146,6 @@ def text_of(html: Column, selector: Selector) -> Column:
     return visible_text(inner_html(html, selector))
 
 
-
 def map_text(html: Column, text_function: Callable[[Column], Column]) -> Column:
     """Apply a function to the text between tags, leaving the tags as they are."""
     tag = r"""^(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""

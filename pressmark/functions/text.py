@@ -51,7 +51,7 @@ def ascii_fold(text: Column) -> Column:
         return F.array_join(F.transform(F.split(t, r"(?=[^\x00-\x7F])"), spelled), "")
 
     def folded(t: Column) -> Column:
-        single = F.translate(repair_cp1252(t), "".join(K.ASCII_SINGLE), "".join(K.ASCII_SINGLE.values()))
+        single = F.translate(t, "".join(K.ASCII_SINGLE), "".join(K.ASCII_SINGLE.values()))
         return once(single, lambda u: F.when(is_ascii(u), u).otherwise(widened(u)))
 
     return once(text, lambda t: F.when(is_ascii(t), t).otherwise(folded(t)))

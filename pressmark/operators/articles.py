@@ -116,9 +116,9 @@ def last_of_each(items: Column, key: str) -> Column:
     return F.transform(in_order, lambda x: x["item"])
 
 
-def body_html(section: Column, url: Column, layout: Layout) -> Column:
-    """Body with absolute links and ASCII text; empty when the page has none."""
-    linked = H.map_link_targets(H.inner_html(section, layout.body), lambda target: resolve(url, target))
+def body_html(section: Column, url: Column) -> Column:
+    """HTML of the body element with absolute links and ASCII text; empty when the page has none."""
+    linked = H.map_link_targets(section, lambda target: resolve(url, target))
     return or_empty(H.map_text(linked, lambda t: ascii_fold(decode_references(t, markup=False))))
 
 
@@ -145,9 +145,8 @@ def extract(
         "url", *carry, *day, F.col("reason").alias("_fetch"), slug(F.col("url")).alias("_slug"),
         H.without_hidden(F.col("html")).alias("_page"),
     )
-    sections = cleaned.select(
-        *cleaned.columns, H.inner_html(F.col("_page"), layout.main).alias("_main")
-    )
+    sections = cleaned.select("*", H.inner_html(F.col("_page"), layout.main).alias("_main"))
+    sections = sections.select("*", H.inner_html(F.col("_main"), layout.body).alias("_body"))
     main, url = F.col("_main"), F.col("url")
     found = parse_month_day_year(date_text(H.text_of(main, layout.date))) if layout.date else F.col("date")
     fields = sections.select(
@@ -162,8 +161,8 @@ def extract(
         _text(main, layout.title).alias("title"),
         _text(main, layout.subhead).alias("subhead"),
         images(main, url, layout).alias("images"),
-        body_html(main, url, layout).alias("article_body"),
-        _text(main, layout.body).alias("article_body_no_html"),
+        body_html(F.col("_body"), url).alias("article_body"),
+        ascii_fold(H.visible_text(F.col("_body"))).alias("article_body_no_html"),
     )
     reason = (
         F.when(F.col("_fetch").isNotNull(), F.col("_fetch"))
@@ -233,7 +232,7 @@ def last_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def absolute_links(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Every link of each page with its absolute form."""
+    """Every link of each page with its absolute form, those in comments and scripts left out."""
     href = F.explode(
         F.array_compact(
             F.transform(
