@@ -334,7 +334,7 @@ def shuffled_folds(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def kfold_split(spark: SparkSession, folder: str) -> DataFrame:
     rows = folds.assign_folds(T.table(spark, folder, "documents"), 7)
-    tested = folds.test_rows(rows, 2).select("doc_id", F.lit("test").alias("part"))
+    tested = folds.held_out_rows(rows, 2).select("doc_id", F.lit("test").alias("part"))
     return tested.unionByName(folds.training_rows(rows, 2).select("doc_id", F.lit("train").alias("part")))
 
 

@@ -15,9 +15,9 @@ from pyspark.sql import Column, functions as F
 
 from pressmark.functions.text import decode_references, once
 
-# Attributes of a tag, quoted values whole; possessive, so a failed match never backtracks.
-_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_TO_ATTRIBUTE = r"""(?:\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))*?\s++"""
+# Attributes of a tag, quoted values whole; a new tag ends them. Repeated groups are possessive everywhere: they
+# never backtrack and use no stack, so a hostile page cannot fail a task.
+_ATTRS = r"""(?:[^<>"']++|"[^"]*+"|'[^']*+')*+"""
 _ANY_TAG = r"<[a-zA-Z/!?][^>]*+>"
 _NOT_NESTING = {"p", "h1", "title", "figcaption", "a", "meta"}
 _BLOCK = r"(?:p|div|ul|ol|h[1-6]|section|article|figure|footer|table)"
@@ -39,7 +39,12 @@ class Selector:
         want = f"(?-i:{re.escape(self.value)})"
         token = rf"(?:[^\"'>]*\s)?{want}(?:\s[^\"'>]*)?" if self.attribute == "class" else want
         test = rf"""(?:"{token}"|'{token}'|{want}(?=[\s>/]))"""
-        return rf"{start}{_TO_ATTRIBUTE}{self.attribute}\s*+=\s*+{test}{_ATTRS}>"
+        return rf"{start}{_to_attribute(self.attribute)}{test}{_ATTRS}>"
+
+
+def _to_attribute(name: str) -> str:
+    """Pattern of the rest of a tag up to the value of its first attribute of this name."""
+    return rf"""(?:\s++(?!{name}\s*=)|"[^"]*+"|'[^']*+'|[^\s"'<>]++)*+\s++{name}\s*+=\s*+"""
 
 
 def without_hidden(html: Column, keep_script: bool = False) -> Column:
@@ -63,7 +68,7 @@ def _cut_element(rest: Column, tag: str) -> Column:
     any_tag = rf"(?i)</?{tag}(?=[\s/>]){_ATTRS}>"
 
     def count(state: Column, mark: Column) -> Column:
-        depth = state["depth"] + F.when(mark.startswith("</"), -1).otherwise(1)
+        depth = state["depth"] + F.when(mark.startswith("</"), -1).when(mark.endswith("/>"), 0).otherwise(1)
         stepped = F.struct(
             depth.alias("depth"),
             (state["used"] + 1).alias("used"),
@@ -122,7 +127,7 @@ def open_tags(html: Column, selector: Selector) -> Column:
 def attribute(tag: Column, name: str) -> Column:
     """Decoded value of an attribute of an opening tag; null when it is absent."""
     value = r"""("[^"]*+"|'[^']*+'|[^\s>"']++)"""
-    pattern = rf"(?i)^<[a-z][^\s>/]*+{_TO_ATTRIBUTE}{name}\s*+=\s*+{value}"
+    pattern = rf"(?i)^<[a-z][^\s>/]*+{_to_attribute(name)}{value}"
 
     def bare(raw: Column) -> Column:
         return F.when(raw != "", decode_references(F.regexp_replace(raw, r"""^["']|["']$""", "")))
@@ -130,15 +135,25 @@ def attribute(tag: Column, name: str) -> Column:
     return once(F.regexp_extract(tag, pattern, 1), bare)
 
 
+def _without_tags(html: Column) -> Column:
+    """Drop tags. No tag ends after the last ``>``, so none is looked for there, which bounds the time."""
+
+    def dropped(h: Column) -> Column:
+        rest = F.substring_index(h, ">", -1)
+        return once(rest, lambda r: F.concat(F.regexp_replace(F.left(h, F.length(h) - F.length(r)), _ANY_TAG, ""), r))
+
+    return once(html, lambda h: F.when(h.contains("<"), dropped(h)).otherwise(h))
+
+
 def strip_tags(html: Column, keep_script: bool = False) -> Column:
     """Character data only: tags, declarations, comments and character references are dropped."""
-    text = F.regexp_replace(without_hidden(html, keep_script), _ANY_TAG, "")
+    text = _without_tags(without_hidden(html, keep_script))
     return F.regexp_replace(text, r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][-.a-zA-Z0-9]*);?", "")
 
 
 def visible_text(html: Column) -> Column:
     """Text of HTML without hidden parts: tags dropped without a space, character references decoded."""
-    return decode_references(F.regexp_replace(html, _ANY_TAG, ""))
+    return decode_references(_without_tags(html))
 
 
 def text_of(html: Column, selector: Selector) -> Column:
@@ -162,7 +177,7 @@ def map_text(html: Column, text_function: Callable[[Column], Column]) -> Column:
 
 def map_link_targets(html: Column, target_function: Callable[[Column], Column]) -> Column:
     """Rewrite ``a@href``, ``img@src`` and ``iframe@src``; elements without the attribute stay."""
-    before = rf"<a(?=\s){_TO_ATTRIBUTE}href\s*+=\s*+|<(?:img|iframe)(?=\s){_TO_ATTRIBUTE}src\s*+=\s*+"
+    before = rf"<a(?=\s){_to_attribute('href')}|<(?:img|iframe)(?=\s){_to_attribute('src')}"
     link = rf"""(?i)^({before})("[^"]*+"|'[^']*+'|[^\s>"']++)"""
 
     def written(p: Column, raw: Column) -> Column:
