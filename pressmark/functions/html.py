@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, functions as F
 
-from pressmark.functions.text import decode_references, once
+from pressmark.functions.text import decode_references, literal, once, sql_apply, sql_once
 
 # Attributes of a tag, quoted values whole; a new tag ends them. Repeated groups are possessive everywhere: they
 # never backtrack and use no stack, so a hostile page cannot fail a task.
@@ -65,38 +65,34 @@ def _inner_flat(html: Column, selector: Selector) -> Column:
 
 def _cut_element(rest: Column, tag: str) -> Column:
     """Inner HTML of the element whose opening tag ``rest`` begins with."""
-    any_tag = rf"(?i)</?{tag}(?=[\s/>]){_ATTRS}>"
-
-    def count(state: Column, mark: Column) -> Column:
-        depth = state["depth"] + F.when(mark.startswith("</"), -1).when(mark.endswith("/>"), 0).otherwise(1)
-        stepped = F.struct(
-            depth.alias("depth"),
-            (state["used"] + 1).alias("used"),
-            (depth == 0).alias("closed"),
-        )
-        return F.when(state["closed"], state).otherwise(stepped)
+    any_tag = literal(rf"(?i)</?{tag}(?=[\s/>]){_ATTRS}>")
+    deeper = "CASE WHEN startswith(tag, '</') THEN -1 WHEN endswith(tag, '/>') THEN 0 ELSE 1 END"
+    stepped = (
+        f"named_struct('depth', state.depth + {deeper}, 'used', state.used + 1,"
+        f" 'closed', state.depth + {deeper} = 0)"
+    )
 
-    def pieces(rest: Column) -> Column:
-        return F.struct(
-            F.regexp_extract_all(rest, F.lit(any_tag), 0).alias("tags"),
-            F.split(rest, any_tag).alias("texts"),
-        )
+    def pieces(r: str) -> str:
+        return f"named_struct('tags', regexp_extract_all({r}, {any_tag}, 0), 'texts', split({r}, {any_tag}))"
 
-    def measured(p: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("used"), F.lit(False).alias("closed"))
-        end = F.aggregate(p["tags"], zero, count, lambda s: F.when(s["closed"], s["used"] - 1).otherwise(s["used"]))
-        return F.struct(p["tags"].alias("tags"), p["texts"].alias("texts"), end.alias("n"))
+    def length(p: str) -> str:
+        return (
+            f"aggregate({p}.tags, named_struct('depth', 0, 'used', 0, 'closed', false),"
+            f" (state, tag) -> CASE WHEN state.closed THEN state ELSE {stepped} END,"
+            f" state -> CASE WHEN state.closed THEN state.used - 1 ELSE state.used END)"
+        )
 
-    def joined(p: Column) -> Column:
+    def joined(p: str, n: str) -> str:
         # the first tag is the opening one and the first text, before it, is empty
-        inside = F.zip_with(
-            F.slice(p["texts"], 2, p["n"]),
-            F.slice(p["tags"], 2, F.greatest(p["n"] - 1, F.lit(0))),
-            lambda text, mark: F.concat(text, F.coalesce(mark, F.lit(""))),
+        return (
+            f"array_join(zip_with(slice({p}.texts, 2, {n}), slice({p}.tags, 2, greatest({n} - 1, 0)),"
+            f" (text, tag) -> concat(text, coalesce(tag, ''))), '')"
         )
-        return F.array_join(inside, "")
 
-    return once(once(once(rest, pieces), measured), joined)
+    def cut(p: str) -> str:
+        return sql_once(length(p), lambda n: joined(p, n), "n")
+
+    return sql_apply(lambda r: sql_once(pieces(r), cut, "parts"), rest)
 
 
 def inner_html(html: Column, selector: Selector) -> Column:

@@ -16,10 +16,28 @@ def once(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _map_literal(entries: dict[str, str]) -> Column:
+def literal(text: str) -> str:
+    """A text as an SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_once(value: str, body: Callable[[str], str], name: str) -> str:
+    """As :func:`once`, for SQL texts; ``name`` is the variable."""
+    return f"transform(array({value}), {name} -> {body(name)})[0]"
+
+
+def sql_apply(body: Callable[[str], str], value: Column) -> Column:
+    """An SQL expression of one column, worked out once.
+
+    Large expressions are written as SQL: building them call by call takes the driver seconds.
+    """
+    return F.call_function("transform", F.array(value), F.expr(f"value -> {body('value')}"))[0]
+
+
+def _map_literal(entries: dict[str, str]) -> str:
     """A constant map, folded by the optimiser."""
     packed = "\x01".join(f"{key}\x02{value}" for key, value in entries.items())
-    return F.str_to_map(F.lit(packed), F.lit("\x01"), F.lit("\x02"))
+    return f"str_to_map({literal(packed)}, '\x01', '\x02')"
 
 
 def nicename(name: Column) -> Column:
@@ -38,23 +56,24 @@ def ascii_fold(text: Column) -> Column:
     Pure ASCII text is passed through after one scan; the wider replacements run only
     on what is still not ASCII after the one-to-one ones.
     """
+    letters = f"{literal(''.join(K.ASCII_SINGLE))}, {literal(''.join(K.ASCII_SINGLE.values()))}"
+    wide = r"[^\x00-\x7F]"
 
-    def is_ascii(t: Column) -> Column:
-        return F.octet_length(t) == F.char_length(t)
+    def is_ascii(t: str) -> str:
+        return f"octet_length({t}) = char_length({t})"
 
-    def spelled(p: Column) -> Column:
-        known = F.element_at(_map_literal(K.ASCII_WIDER), F.substring(p, 1, 1))
-        spelled_out = F.concat(F.coalesce(known, F.lit("")), F.substr(p, F.lit(2)))
-        return F.when(p.rlike(r"^[^\x00-\x7F]"), spelled_out).otherwise(p)
+    def spelled(p: str) -> str:
+        known = f"coalesce(element_at({_map_literal(K.ASCII_WIDER)}, left({p}, 1)), '')"
+        return f"CASE WHEN {p} RLIKE {literal('^' + wide)} THEN concat({known}, substr({p}, 2)) ELSE {p} END"
 
-    def widened(t: Column) -> Column:
-        return F.array_join(F.transform(F.split(t, r"(?=[^\x00-\x7F])"), spelled), "")
+    def widened(t: str) -> str:
+        return f"array_join(transform(split({t}, {literal(f'(?={wide})')}), p -> {spelled('p')}), '')"
 
-    def folded(t: Column) -> Column:
-        single = F.translate(t, "".join(K.ASCII_SINGLE), "".join(K.ASCII_SINGLE.values()))
-        return once(single, lambda u: F.when(is_ascii(u), u).otherwise(widened(u)))
+    def folded(t: str) -> str:
+        narrowed = f"translate({t}, {letters})"
+        return sql_once(narrowed, lambda u: f"CASE WHEN {is_ascii(u)} THEN {u} ELSE {widened(u)} END", "narrowed")
 
-    return once(text, lambda t: F.when(is_ascii(t), t).otherwise(folded(t)))
+    return sql_apply(lambda t: f"CASE WHEN {is_ascii(t)} THEN {t} ELSE {folded(t)} END", text)
 
 
 def squeeze_spaces(text: Column) -> Column:
@@ -81,34 +100,35 @@ def decode_references(text: Column, markup: bool = True) -> Column:
     """
     known = {k: v for k, v in K.ENTITIES.items() if markup or not v.isascii()}
     lowest = 1 if markup else 0x80
-    named = _map_literal(known)
 
-    def code_point(digits: Column, base: int) -> Column:
-        number = F.conv(digits, base, 10).cast("long")
-        usable = (F.length(digits) <= 7) & number.between(lowest, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        bytes4 = F.unhex(F.lpad(F.hex(number), 8, "0"))
-        return F.when(usable, F.decode(bytes4, "UTF-32"))
+    def code_point(digits: str, base: int) -> str:
+        number = f"CAST(conv({digits}, {base}, 10) AS BIGINT)"
+        usable = (
+            f"length({digits}) <= 7 AND {number} BETWEEN {lowest} AND {0x10FFFF}"
+            f" AND NOT {number} BETWEEN {0xD800} AND {0xDFFF}"
+        )
+        return f"CASE WHEN {usable} THEN decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') END"
 
-    def character(ref: Column) -> Column:
+    def character(ref: str) -> str:
         return (
-            F.when(ref == "", F.lit(None).cast("string"))
-            .when(ref.rlike("^#[xX]"), code_point(F.substring(ref, 3, 8), 16))
-            .when(ref.startswith("#"), code_point(F.substring(ref, 2, 8), 10))
-            .otherwise(F.element_at(named, ref))
+            f"CASE WHEN {ref} = '' THEN NULL"
+            f" WHEN {ref} RLIKE '^#[xX]' THEN {code_point(f'substr({ref}, 3, 8)', 16)}"
+            f" WHEN startswith({ref}, '#') THEN {code_point(f'substr({ref}, 2, 8)', 10)}"
+            f" ELSE element_at({_map_literal(known)}, {ref}) END"
         )
 
-    def piece(p: Column, i: Column) -> Column:
-        ref = F.regexp_extract(p, _ENTITY, 1)
-        found = once(
-            ref,
-            lambda r: F.concat(character(r), F.substr(p, F.length(r) + F.lit(2))),
+    def piece(p: str, i: str) -> str:
+        found = sql_once(
+            f"regexp_extract({p}, {literal(_ENTITY)}, 1)",
+            lambda ref: f"concat({character(ref)}, substr({p}, length({ref}) + 2))",
+            "ref",
         )
-        return F.when(i == 0, p).otherwise(F.coalesce(found, F.concat(F.lit("&"), p)))
+        return f"CASE WHEN {i} = 0 THEN {p} ELSE coalesce({found}, concat('&', {p})) END"
 
-    def decoded(t: Column) -> Column:
-        return F.array_join(F.transform(F.split(t, "&"), piece), "")
+    def decoded(t: str) -> str:
+        return f"array_join(transform(split({t}, '&'), (p, i) -> {piece('p', 'i')}), '')"
 
-    return once(text, lambda t: F.when(t.contains("&"), decoded(t)).otherwise(t))
+    return sql_apply(lambda t: f"CASE WHEN contains({t}, '&') THEN {decoded(t)} ELSE {t} END", text)
 
 
 def tokens(text: Column) -> Column:

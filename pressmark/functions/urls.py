@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from pressmark import constants as K
-from pressmark.functions.text import null_if_empty, once
+from pressmark.functions.text import literal, null_if_empty, sql_once
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)"
 _ORIGIN = r"^((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)"
@@ -34,43 +34,39 @@ def without_query(url: Column) -> Column:
     return F.regexp_replace(url, r"[?#].*", "")
 
 
-def _flatten_dots(path: Column) -> Column:
-    """Apply ``.`` and ``..`` parts of an absolute path."""
-
-    def step(kept: Column, part: Column) -> Column:
-        return (
-            F.when(part == ".", kept)
-            .when((part == "..") & (F.size(kept) > 1), F.slice(kept, 1, F.size(kept) - 1))
-            .when(part == "..", kept)
-            .otherwise(F.concat(kept, F.array(part)))
-        )
+def _flatten_dots(path: str) -> str:
+    """Apply ``.`` and ``..`` parts of an absolute path, as SQL."""
+    step = (
+        "CASE WHEN part = '.' THEN kept"
+        " WHEN part = '..' THEN slice(kept, 1, greatest(size(kept) - 1, 1))"
+        " ELSE concat(kept, array(part)) END"
+    )
 
-    def flat(p: Column) -> Column:
-        kept = F.aggregate(F.split(p, "/"), F.array().cast("array<string>"), step)
-        slash = F.when(p.rlike(r"/\.{1,2}$"), F.lit("/")).otherwise(F.lit(""))
-        return F.concat(F.array_join(kept, "/"), slash)
+    def flat(p: str) -> str:
+        slash = f"CASE WHEN {p} RLIKE {literal(r'/[.]{1,2}$')} THEN '/' ELSE '' END"
+        kept = f"aggregate(split({p}, '/'), CAST(array() AS ARRAY<STRING>), (kept, part) -> {step})"
+        return f"concat(array_join({kept}, '/'), {slash})"
 
-    return once(path, lambda p: F.when(p.rlike(r"(^|/)\.{1,2}(/|$)"), flat(p)).otherwise(p))
+    dotted = literal(r"(^|/)[.]{1,2}(/|$)")
+    return sql_once(path, lambda p: f"CASE WHEN {p} RLIKE {dotted} THEN {flat(p)} ELSE {p} END", "path")
 
 
 def resolve(base: Column, href: Column) -> Column:
     """The absolute form of ``href`` found on the page ``base`` (RFC 3986, section 5.2)."""
-    return once(href, lambda h: _resolve(base, h))
-
-
-def _resolve(base: Column, href: Column) -> Column:
-    origin = F.regexp_extract(base, _ORIGIN, 1)
-    plain = without_query(base)
-    folder = F.regexp_extract(base, _ORIGIN[:-1] + r"(?:/[^?#]*)?/)", 1)
-    folder = F.when(folder == "", F.concat(origin, F.lit("/"))).otherwise(folder)
-    path = F.regexp_extract(href, r"^([^?#]*)", 1)
-    tail = F.regexp_extract(href, r"^[^?#]*(.*)", 1)
-    return (
-        F.when(href == "", base)
-        .when(href.startswith("/") & ~href.startswith("//"), F.concat(origin, _flatten_dots(path), tail))
-        .when(href.startswith("//"), F.concat(F.regexp_extract(base, _SCHEME, 1), href))
-        .when(href.rlike(_SCHEME), href)
-        .when(href.startswith("#"), F.concat(F.regexp_replace(base, "#.*", ""), href))
-        .when(href.startswith("?"), F.concat(plain, href))
-        .otherwise(F.concat(origin, _flatten_dots(F.substr(F.concat(folder, path), F.length(origin) + F.lit(1))), tail))
+    scheme = literal(_SCHEME)
+    origin = f"regexp_extract(base, {literal(_ORIGIN)}, 1)"
+    folder = f"regexp_extract(base, {literal(_ORIGIN[:-1] + '(?:/[^?#]*)?/)')}, 1)"
+    folder = f"substr(coalesce(nullif({folder}, ''), concat({origin}, '/')), length({origin}) + 1)"
+    path = f"regexp_extract(href, {literal('^([^?#]*)')}, 1)"
+    tail = f"regexp_extract(href, {literal('^[^?#]*(.*)')}, 1)"
+    cases = (
+        f"CASE WHEN href = '' THEN base"
+        f" WHEN startswith(href, '//') THEN concat(regexp_extract(base, {scheme}, 1), href)"
+        f" WHEN startswith(href, '/') THEN concat({origin}, {_flatten_dots(path)}, {tail})"
+        f" WHEN href RLIKE {scheme} THEN href"
+        f" WHEN startswith(href, '#') THEN concat(regexp_replace(base, '#.*', ''), href)"
+        f" WHEN startswith(href, '?') THEN concat(regexp_replace(base, '[?#].*', ''), href)"
+        f" ELSE concat({origin}, {_flatten_dots(f'concat({folder}, {path})')}, {tail}) END"
     )
+    resolved = F.call_function("zip_with", F.array(base), F.array(href), F.expr(f"(base, href) -> {cases}"))
+    return resolved[0]

@@ -14,6 +14,7 @@ from pressmark.functions.html import Selector
 from pressmark.functions.text import ascii_fold, decode_references, once, or_empty, squeeze_spaces
 from pressmark.functions.urls import percent_spaces, resolve, slug
 from pressmark.operators.authors import GENERIC, with_account
+from pressmark.session import spread
 from pressmark.sources.pages import with_fetch_reason
 
 NO_MAIN = "no main section"
@@ -140,7 +141,7 @@ def extract(
     ``carry`` names further page columns to keep, such as the order of fetching.
     """
     day = ["date"] if layout.date is None else []
-    fetched = with_fetch_reason(pages)
+    fetched = with_fetch_reason(spread(pages))
     cleaned = fetched.select(
         "url", *carry, *day, F.col("reason").alias("_fetch"), slug(F.col("url")).alias("_slug"),
         H.without_hidden(F.col("html")).alias("_page"),

@@ -56,6 +56,21 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give every core a share of a small table whose files allow fewer tasks than there are cores.
+
+    Tables estimated to fill all cores with tasks by their size are left as they are, so at
+    most one task's input per core is ever shuffled here.
+    """
+    if df.isStreaming:
+        return df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    task = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return df.repartition(cores) if size < cores * task else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on any file system Spark can read."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
