@@ -10,7 +10,7 @@ from pressmark.functions.html import Selector
 from pressmark.functions.urls import percent_spaces, resolve
 from pressmark.operators.articles import PLAIN_LAYOUT, accepted, extract, last_of_each
 from pressmark.operators.order import assign_ids
-from pressmark.session import stage
+from pressmark.session import spread, stage
 
 SITE = "http://news.example.org"
 UPLOADS = "http://media.example.org/"
@@ -54,7 +54,7 @@ def numbered_articles(spark: SparkSession, folder: str) -> DataFrame:
 
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with labels, as categories: language, source, quality and toxicity."""
-    documents, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    documents, labels = spread(table(spark, folder, "documents")), table(spark, folder, "labels")
     categories = F.array_compact(
         F.array(
             "lang", "source", F.when(F.col("quality") == 1, F.lit("quality")),
@@ -65,7 +65,7 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left_anti")
+    return spread(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id", "left_anti")
 
 
 def escaped(text: Column) -> Column:

@@ -66,9 +66,18 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     task = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores) if size < cores * task else df
+    return df.repartition(cores) if _estimated_bytes(df) < cores * task else df
+
+
+def pack(stored: DataFrame, task_bytes: int = 16 * 2**20) -> DataFrame:
+    """A stored table in no more tasks than its size asks for, for jobs that read it many times."""
+    tasks = -(-_estimated_bytes(stored) // task_bytes)
+    return stored.coalesce(tasks) if tasks < stored.sparkSession.sparkContext.defaultParallelism else stored
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

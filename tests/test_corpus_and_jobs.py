@@ -16,7 +16,7 @@ from pressmark.sinks import render
 from pressmark.sources import archive, corpus
 from pressmark.streaming.pages import write_rows
 
-SMALL = Settings(max_terms=2**10, max_iterations=10, parallelism=2)
+SMALL = Settings(max_terms=2**10, max_iterations=6, parallelism=4)
 
 
 def frame(spark, contents):
@@ -91,7 +91,7 @@ def learnable(spark):
 
 @pytest.mark.parametrize("terms", [2**10, 16])
 def test_fit_save_load_predict(spark, learnable, tmp_path, terms):
-    settings = Settings(max_terms=terms, max_iterations=20, parallelism=2)
+    settings = Settings(max_terms=terms, max_iterations=6, parallelism=4)
     path = str(tmp_path / "model")
     model = classify.load_or_fit(learnable, path, "text", settings)
     assert [kind for _, _, kind in model.index] == ["always", "svm", "svm", "svm"]
