@@ -193,8 +193,9 @@ def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
     """
     used = articles.select("url", F.explode("images.image_url").alias("image_url"))
     known = used.select("image_url").distinct().join(sizes, "image_url")
+    known = known.groupBy("image_url").agg(F.max(F.struct("width", "height")).alias("size"))
     pairs = used.join(known, "image_url").groupBy("url").agg(
-        F.collect_set(F.struct("image_url", F.struct("width", "height").alias("size"))).alias("_sizes")
+        F.collect_set(F.struct("image_url", "size")).alias("_sizes")
     )
 
     def filled(image: Column) -> Column:

@@ -59,25 +59,27 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame) -> DataFrame:
     """Give every core a share of a small table whose files allow fewer tasks than there are cores.
 
-    Tables estimated to fill all cores with tasks by their size are left as they are, so at
-    most one task's input per core is ever shuffled here.
+    Tables whose files fill all cores with tasks are left as they are, so at most one task's
+    input per core is ever shuffled here.
     """
     if df.isStreaming:
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     task = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
-    return df.repartition(cores) if _estimated_bytes(df) < cores * task else df
+    return df.repartition(cores) if _stored_bytes(df) < cores * task else df
 
 
 def pack(stored: DataFrame, task_bytes: int = 16 * 2**20) -> DataFrame:
     """A stored table in no more tasks than its size asks for, for jobs that read it many times."""
-    tasks = -(-_estimated_bytes(stored) // task_bytes)
+    tasks = -(-_stored_bytes(stored) // task_bytes)
     return stored.coalesce(tasks) if tasks < stored.sparkSession.sparkContext.defaultParallelism else stored
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _stored_bytes(df: DataFrame) -> int:
+    """Size of all tables a plan reads, whole, so no estimate of what is kept of them can be too low."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

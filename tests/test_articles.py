@@ -124,7 +124,8 @@ def test_image_sizes(spark, tmp_path):
     assert [tuple(r) for r in sizes.collect()] == [("http://h.com/b.png", 7, 3)]
     body = '<div id="main"><p class="date">March 3, 2011</p><figure class="article-image"><img src="/{}"></figure></div>'
     made = [("http://h.com/p.html", body.format("b.png")), ("http://h.com/q.html", body.format("c.png"))]
-    rows = A.extract(spark.createDataFrame(made, "url string, html string"), sizes=sizes)
+    twice = sizes.unionByName(sizes.withColumn("height", F.col("height") - 1))
+    rows = A.extract(spark.createDataFrame(made, "url string, html string"), sizes=twice)
     found = {r["url"]: r for r in rows.collect()}
     assert tuple(found["http://h.com/p.html"]["images"][0])[2:] == (7, 3)
     assert found["http://h.com/p.html"]["reason"] is None
