@@ -79,21 +79,23 @@ def _fit_one(row: np.ndarray, word: np.ndarray, earlier: np.ndarray, wanted: np.
     share, n = float(wanted.mean()) if len(wanted) else 0.0, len(wanted)
     if share in (0.0, 1.0):
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), 50.0 * (2 * share - 1))
-    seen, place = np.unique(word, return_inverse=True)
-    held = np.bincount(place, minlength=len(seen)).astype(float)
-    both = np.bincount(place, weights=wanted[row], minlength=len(seen))
+    held = np.bincount(word, minlength=1 << chain.bits)
+    both = np.bincount(word[wanted[row] > 0], minlength=1 << chain.bits)
+    seen = np.flatnonzero(held)
+    held, both = held[seen].astype(float), both[seen]
     spread = held * (n - held) * share * (1 - share)
     gain = (both - held * share) ** 2 / np.maximum(spread, 1e-9)  # chi squared over the number of rows
-    best = np.sort(np.lexsort((seen, -gain))[: chain.words])
+    best = seen[np.lexsort((seen, -gain))[: chain.words]]
+    best.sort()
     table = np.zeros((n, len(best) + earlier.shape[1] + 1), dtype=np.float32)
-    column = np.full(len(seen), -1)
+    column = np.full(1 << chain.bits, -1, dtype=np.int32)
     column[best] = np.arange(len(best))
-    inside = column[place] >= 0
-    table[row[inside], column[place[inside]]] = 1
+    inside = column[word] >= 0
+    table[row[inside], column[word[inside]]] = 1
     table[:, len(best) : -1] = earlier
     table[:, -1] = 1
     weights = _logistic(table, wanted.astype(np.float32), chain)
-    return Linear(seen[best], weights[: len(best)], weights[len(best) : -1], float(weights[-1]))
+    return Linear(best, weights[: len(best)], weights[len(best) : -1], float(weights[-1]))
 
 
 def _logistic(table: np.ndarray, wanted: np.ndarray, chain: Chain) -> np.ndarray:
@@ -118,8 +120,8 @@ def _logistic(table: np.ndarray, wanted: np.ndarray, chain: Chain) -> np.ndarray
 def fit_chain(rows: list[np.ndarray], wanted: np.ndarray, chain: Chain = Chain()) -> list[Linear]:
     """Models in order; ``rows`` are sorted distinct words of each text, ``wanted`` rows by categories."""
     n = len(rows)
-    row = np.repeat(np.arange(n), [len(r) for r in rows]).astype(np.int64)
-    word = np.concatenate(rows).astype(np.int64) if n else np.zeros(0, dtype=np.int64)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
+    word = np.concatenate(rows).astype(np.int32) if n else np.zeros(0, dtype=np.int32)
     fold = np.array([int(r.astype(np.int64).sum()) * 2654435761 % 2**32 % chain.folds for r in rows], dtype=np.int64)
     earlier, models = np.zeros((n, 0)), []
     for category in range(wanted.shape[1]):
