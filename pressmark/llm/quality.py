@@ -89,8 +89,8 @@ def _repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
-    length = np.sqrt((rows.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
-    return (rows / np.maximum(length, 1e-12)).astype(np.float32)
+    length = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))[:, None]
+    return rows / np.maximum(length, 1e-12).astype(np.float32)
 
 
 def _weighted(counts: np.ndarray, idf: np.ndarray, repeats: float) -> np.ndarray:
