@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -11,8 +12,8 @@ from pressmark.functions import dates, html as H, text, urls
 from pressmark.functions.html import Selector
 from pressmark.operators import articles as A, authors, classify, folds, labels, metrics, tfidf
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT
-from pressmark.operators.classify import Settings
 from pressmark.plans.import_job import ImportJob
+from pressmark.session import shared_dir
 from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus, pages as P
 
@@ -22,7 +23,6 @@ QUERIES: dict[str, Query] = {}
 ORDER_MONTHS = archive.month_range("06/1996", "03/1999")
 PAGE_MONTHS = archive.month_range("02/1995", "06/1995")
 SHARD_LIMIT = 40_000
-SMALL_MODEL = Settings(max_terms=2**14, max_iterations=10)
 
 
 def query(function: Query) -> Query:
@@ -134,10 +134,11 @@ def image_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def author_account(spark: SparkSession, folder: str) -> DataFrame:
-    accounts = T.table(spark, folder, "nation").where(F.col("n_nationkey") % 2 == 0).select(
+    accounts = T.table(spark, folder, "nation").select(
         F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("alias"), F.col("n_name").alias("account")
     )
-    named = T.table(spark, folder, "documents").select("doc_id", F.upper("source").alias("name"))
+    unknown = F.when(F.col("doc_id") % 3 == 0, F.lit(" jr")).otherwise(F.lit(""))
+    named = T.table(spark, folder, "documents").select("doc_id", F.upper(F.concat("source", unknown)).alias("name"))
     return authors.with_account(named, "name", accounts)
 
 
@@ -351,23 +352,30 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def classify_documents(spark: SparkSession, folder: str) -> DataFrame:
-    model = classify.fit(_training(spark, folder), "text", SMALL_MODEL)
+    model = classify.fit(T.labelled_documents(spark, folder), "text")
     predicted = model.predict(T.unlabelled_documents(spark, folder), "text", ["doc_id"])
     return predicted.withColumn("categories", joined(F.col("categories")))
 
 
 @query
 def kfold_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(classify.cross_validate(_training(spark, folder), 3, settings=SMALL_MODEL, seed=42))
+    return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, seed=42))
 
 
-def _training(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents; only language, quality and toxicity are to be learnt, not the source."""
-    sources = T.table(spark, folder, "documents").select("doc_id", "source")
-    documents = T.labelled_documents(spark, folder).join(sources, "doc_id")
-    return documents.select(
-        "doc_id", "text", F.array_remove("categories", F.col("source")).alias("categories")
-    )
+@query
+def classify_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Labels that the texts give away, by a model that was saved and loaded again."""
+    documents = T.planted_documents(spark, folder)
+    path = f"{shared_dir(spark).rstrip('/')}/planted-{uuid.uuid4().hex}"
+    classify.load_or_fit(documents, path, "text")
+    predicted = classify.load(spark, path).predict(documents, "text", ["doc_id"])
+    return predicted.withColumn("categories", joined(F.col("categories")))
+
+
+@query
+def kfold_planted(spark: SparkSession, folder: str) -> DataFrame:
+    found = classify.cross_validate(T.planted_documents(spark, folder), 3, seed=42)
+    return found.select("fold", "label", "tp", "fp", "fn", "tn")
 
 
 @query

@@ -83,9 +83,9 @@ ASCII_FORMS |= {"\u2028": "\n", "\u2029": "\n\n"}
 
 
 def _unaccented() -> dict[str, str]:
-    """Accented Latin-1 and Latin Extended-A letters by Unicode decomposition."""
+    """Accented Latin letters by Unicode decomposition: Latin-1, Extended-A, Extended-B, Additional."""
     letters = {}
-    for code in range(0xC0, 0x180):
+    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
         base = unicodedata.normalize("NFD", chr(code))[0]
         if base.isascii() and chr(code) not in ASCII_FORMS:
             letters[chr(code)] = base

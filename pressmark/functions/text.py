@@ -101,19 +101,22 @@ def decode_references(text: Column, markup: bool = True) -> Column:
     known = {k: v for k, v in K.ENTITIES.items() if markup or not v.isascii()}
     lowest = 1 if markup else 0x80
 
+    def number(ref: str, start: int) -> str:
+        return f"regexp_replace(substr({ref}, {start}), '^0+', '')"
+
     def code_point(digits: str, base: int) -> str:
-        number = f"CAST(conv({digits}, {base}, 10) AS BIGINT)"
+        value = f"CAST(conv({digits}, {base}, 10) AS BIGINT)"
         usable = (
-            f"length({digits}) <= 7 AND {number} BETWEEN {lowest} AND {0x10FFFF}"
-            f" AND NOT {number} BETWEEN {0xD800} AND {0xDFFF}"
+            f"length({digits}) <= 7 AND {value} BETWEEN {lowest} AND {0x10FFFF}"
+            f" AND NOT {value} BETWEEN {0xD800} AND {0xDFFF}"
         )
-        return f"CASE WHEN {usable} THEN decode(unhex(lpad(hex({number}), 8, '0')), 'UTF-32') END"
+        return f"CASE WHEN {usable} THEN decode(unhex(lpad(hex({value}), 8, '0')), 'UTF-32') END"
 
     def character(ref: str) -> str:
         return (
             f"CASE WHEN {ref} = '' THEN NULL"
-            f" WHEN {ref} RLIKE '^#[xX]' THEN {code_point(f'substr({ref}, 3, 8)', 16)}"
-            f" WHEN startswith({ref}, '#') THEN {code_point(f'substr({ref}, 2, 8)', 10)}"
+            f" WHEN {ref} RLIKE '^#[xX]' THEN {code_point(number(ref, 3), 16)}"
+            f" WHEN startswith({ref}, '#') THEN {code_point(number(ref, 2), 10)}"
             f" ELSE element_at({_map_literal(known)}, {ref}) END"
         )
 

@@ -185,16 +185,21 @@ def extract(
     return rows.select(*schemas.ARTICLES.fieldNames(), *carry, "reason")
 
 
+_SPLITS = 32
+
+
 def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
     """Fill in sizes a page does not declare from ``sizes(image_url, width, height)``.
 
-    Only the image URLs leave the article rows. Each URL is looked up once, so an image
-    used on very many pages is no hot key in the look-up.
+    Only the image URLs leave the article rows. Each URL is looked up once. Uses of an image
+    are spread over ``_SPLITS`` keys by the page, so one on every page is no hot key.
     """
     used = articles.select("url", F.explode("images.image_url").alias("image_url"))
     known = used.select("image_url").distinct().join(sizes, "image_url")
     known = known.groupBy("image_url").agg(F.max(F.struct("width", "height")).alias("size"))
-    pairs = used.join(known, "image_url").groupBy("url").agg(
+    split = F.pmod(F.xxhash64("url"), F.lit(_SPLITS)).cast("int")
+    copies = known.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(_SPLITS - 1))))
+    pairs = used.withColumn("_split", split).join(copies, ["image_url", "_split"]).groupBy("url").agg(
         F.collect_set(F.struct("image_url", "size")).alias("_sizes")
     )
 

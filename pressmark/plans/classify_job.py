@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pressmark.operators import classify
 from pressmark.operators.classify import Settings
 from pressmark.sinks import writers
+from pressmark.session import job
 from pressmark.sources import corpus
 
 
@@ -21,9 +22,13 @@ def save_training_set(articles: DataFrame, path: str) -> None:
 
 
 def unlabelled_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Parsed front-matter documents below a folder; of equal file names the last path stays."""
+    """Parsed front-matter documents below a folder; of equal file names the last path stays.
+
+    A file that :func:`writers.write_texts` wrote has the name of its ``file_name=`` folder, any
+    other that of the file.
+    """
     found = corpus.read_documents(spark, path)
-    found = found.withColumn("filename", F.element_at(F.split("path", "/"), -1))
+    found = found.withColumn("filename", writers.written_name(F.col("path")))
     last = found.groupBy("filename").agg(F.max("path").alias("path"))
     return corpus.parse_front_matter(found.join(last, ["filename", "path"], "left_semi")).drop("path")
 
@@ -41,6 +46,7 @@ def run(
     settings: Settings = Settings(),
 ) -> None:
     """Classify all documents below a folder and write each with its categories."""
-    documents = unlabelled_documents(spark, documents_path)
-    labelled = classify_documents(documents, training_set(spark, corpus_path), model_path, settings)
-    writers.write_texts(writers.categorised_files(labelled, "filename"), target)
+    with job(spark):
+        documents = unlabelled_documents(spark, documents_path)
+        labelled = classify_documents(documents, training_set(spark, corpus_path), model_path, settings)
+        writers.write_texts(writers.categorised_files(labelled, "filename"), target)

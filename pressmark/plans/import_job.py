@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pressmark import constants as K
 from pressmark.operators.articles import NEWS_LAYOUT, Layout, accepted, extract, last_per_key, rejects
 from pressmark.operators.order import assign_ids
-from pressmark.session import stage
+from pressmark.session import job, stage
 from pressmark.sinks import writers
 from pressmark.sources.archive import ARCHIVE_LIST, month_archives, site_links
 
@@ -53,11 +53,12 @@ class ImportJob:
         markdown: bool = False,
     ) -> None:
         """Write import files, the rejects table and, if wanted, markdown below ``target``."""
-        rows = stage(self.rows(pages, first, last, order), "rows")
-        kept = stage(last_per_key(accepted(rows), "url", order).drop(order), "articles")
-        numbered = stage(assign_ids(kept, start_index), "numbered")
-        items = writers.import_items(numbered, self.upload_root, self.zone)
-        writers.write_texts(writers.import_files(items, self.limit), f"{target}/import")
-        writers.write_rejects(rejects(rows), f"{target}/rejects")
-        if markdown:
-            writers.write_texts(writers.markdown_files(numbered, self.upload_root), f"{target}/markdown")
+        with job(pages.sparkSession):
+            rows = stage(self.rows(pages, first, last, order), "rows")
+            kept = stage(last_per_key(accepted(rows), "url", order).drop(order), "articles")
+            numbered = stage(assign_ids(kept, start_index), "numbered")
+            items = writers.import_items(numbered, self.upload_root, self.zone)
+            writers.write_texts(writers.import_files(items, self.limit), f"{target}/import")
+            writers.write_rejects(rejects(rows), f"{target}/rejects")
+            if markdown:
+                writers.write_texts(writers.markdown_files(numbered, self.upload_root), f"{target}/markdown")

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
-from functools import lru_cache
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,22 +26,25 @@ def local_session(cores: str = "*", app: str = "pressmark") -> SparkSession:
     )
 
 
-@lru_cache(maxsize=1)
-def _single_machine_dir() -> str:
-    return tempfile.mkdtemp(prefix="pressmark-")
+_open_jobs: list[list[str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach, as named by ``spark.checkpoint.dir``.
+    """The folder all executors reach: ``spark.checkpoint.dir``, else one in the session's warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/pressmark_stages"
 
-    Only a local master may fall back to a folder of this machine.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", "")
-    if configured:
-        return configured
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _single_machine_dir()
-    raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables staged within, once what is made of them has been written."""
+    paths: list[str] = []
+    _open_jobs.append(paths)
+    try:
+        yield
+    finally:
+        _open_jobs.remove(paths)
+        for path in paths:
+            remove(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -52,6 +55,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for paths in _open_jobs[-1:]:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -82,6 +87,12 @@ def _stored_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system Spark can reach, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on any file system Spark can read."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmark import constants as K
 from pressmark.operators.shards import assign_shards
@@ -57,6 +57,19 @@ def write_texts(documents: DataFrame, path: str, name: str = "file_name", conten
     rows.write.partitionBy("file_name").text(path)
 
 
+def written_name(path: Column) -> Column:
+    """The name of a document by its path: that of the folder made for it, else the file's own.
+
+    Folder names are escaped as the writer does, and once more as paths are.
+    """
+    folder = F.regexp_extract(path, r"/file_name=([^/]*)/[^/]*\z", 1)
+
+    def plain(name: Column) -> Column:
+        return F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+
+    return F.when(folder != "", plain(plain(folder))).otherwise(plain(F.element_at(F.split(path, "/"), -1)))
+
+
 def markdown_files(articles: DataFrame, root: str) -> DataFrame:
     """``file_name`` and ``content`` of numbered articles; of equal file names the last URL stays."""
     last = articles.groupBy("file_name").agg(F.max("url").alias("url"))

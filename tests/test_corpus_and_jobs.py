@@ -6,17 +6,18 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from checks.tables import labelled_documents
 from pressmark import constants as K
 from pressmark.operators import classify
 from pressmark.operators.articles import NEWS_LAYOUT
 from pressmark.operators.classify import Settings
 from pressmark.plans import classify_job
 from pressmark.plans.import_job import ImportJob
-from pressmark.sinks import render
+from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus
 from pressmark.streaming.pages import write_rows
 
-SMALL = Settings(max_terms=2**10, max_iterations=6, parallelism=4)
+SMALL = Settings(max_terms=2**10, parallelism=4)
 
 
 def frame(spark, contents):
@@ -91,7 +92,7 @@ def learnable(spark):
 
 @pytest.mark.parametrize("terms", [2**10, 16])
 def test_fit_save_load_predict(spark, learnable, tmp_path, terms):
-    settings = Settings(max_terms=terms, max_iterations=6, parallelism=4)
+    settings = Settings(max_terms=terms, parallelism=4)
     path = str(tmp_path / "model")
     model = classify.load_or_fit(learnable, path, "text", settings)
     assert [kind for _, _, kind in model.index] == ["always", "svm", "svm", "svm"]
@@ -103,6 +104,43 @@ def test_fit_save_load_predict(spark, learnable, tmp_path, terms):
         assert all(sorted(first[r["doc_id"]]) == sorted(r["categories"]) for r in learnable.collect())
 
 
+def test_features_are_chosen_by_the_caller(spark, learnable):
+    exact = Settings(features="vocabulary", max_terms=2**10)
+    model = classify.fit(learnable, "text", exact)
+    found = {r["doc_id"]: sorted(r["categories"]) for r in model.predict(learnable, "text", ["doc_id"]).collect()}
+    assert found == {r["doc_id"]: sorted(r["categories"]) for r in learnable.collect()}
+    with pytest.raises(ValueError, match="terms"):
+        classify.fit(learnable, "text", Settings(features="vocabulary", max_terms=10))
+    with pytest.raises(ValueError, match="features"):
+        classify.fit(learnable, "text", Settings(features="other"))
+    with pytest.raises(ValueError, match="labels"):
+        classify.fit(learnable, "text", Settings(max_labels=3))
+
+
+def test_a_fit_separates_languages_on_its_training_rows(spark):
+    folder = "/root/testdata/sf0.01"
+    documents = labelled_documents(spark, folder)
+    languages = ["de", "en", "es", "fr"]
+    only = documents.withColumn("categories", F.filter("categories", lambda c: c.isin(languages))).cache()
+    found = classify.fit(only, "text").predict(only, "text", ["doc_id"]).collect()
+    wanted = {r["doc_id"]: r["categories"] for r in only.collect()}
+    wrong = [r for r in found if list(r["categories"]) != list(wanted[r["doc_id"]])]
+    assert len(found) == 399 and len(wrong) <= 2
+
+
+def test_written_documents_are_read_back(spark, tmp_path):
+    names = [f"doc {n}%2F+é={n}.md" if n % 5 == 0 else f"doc-{n}.md" for n in range(1000)]
+    rows = [(name, f"---\ntitle: {n}\n---\nbody {n}\n") for n, name in enumerate(names)]
+    documents = spark.createDataFrame(rows, "file_name string, content string").repartition(4)
+    writers.write_texts(documents, str(tmp_path / "out"))
+    found = {r["filename"]: r["article_body"] for r in classify_job.unlabelled_documents(spark, str(tmp_path / "out")).collect()}
+    assert {k: v.strip() for k, v in found.items()} == {name: f"body {n}" for n, name in enumerate(names)}
+    plain = tmp_path / "plain" / "deep"
+    plain.mkdir(parents=True)
+    (plain / "a b.md").write_text("---\nx: 1\n---\ny\n")
+    assert [r["filename"] for r in classify_job.unlabelled_documents(spark, str(tmp_path / "plain")).collect()] == ["a b.md"]
+
+
 def test_cross_validation(spark, learnable):
     rows = classify.cross_validate(learnable, 2, settings=SMALL, seed=1).collect()
     assert {(r["fold"], r["label"]) for r in rows} == {(f, c) for f in (0, 1) for c in ("all", "big", "cats", "dogs")}

@@ -179,3 +179,8 @@ def test_text_and_link_rewriting(each):
     linked = each(lambda b, c: H.map_link_targets(c, lambda t: urls.resolve(b, t)), [("http://h/d/e", page)])[0]
     assert 'href="http://h/für?a=1&amp;b=2">2' in linked
     assert 'SRC="http://h/d/p.png">' in linked and "<a name=x>1</a>" in linked
+
+
+def test_references_with_leading_zeros_and_further_latin_letters(each):
+    assert each(text.decode_references, ["&#00000038;", "&#x000000e9;", "&#0;", "&#00000000000;", "&#x0;", "&#99999999;"])[:2] == ["&", "é"]
+    assert each(text.ascii_fold, ["ș ț ế ơ Ṡ"]) == ["s t e o S"]

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pressmark.session import pack, path_exists, shared_dir, spread, stage
+from pressmark.session import job, pack, path_exists, shared_dir, spread, stage
 
 
 def test_spread_only_small_tables(spark, monkeypatch, tmp_path):
@@ -20,3 +20,10 @@ def test_stage_keeps_rows_in_the_shared_folder(spark):
     where = stored.inputFiles()[0].removeprefix("file:").removeprefix("//")
     assert shared_dir(spark).removeprefix("file:").rstrip("/") in where
     assert path_exists(spark, where) and not path_exists(spark, where + "x")
+
+
+def test_a_job_removes_what_it_staged(spark):
+    with job(spark):
+        where = stage(spark.range(10), "numbers").inputFiles()[0].removeprefix("file:").removeprefix("//")
+        assert path_exists(spark, where)
+    assert not path_exists(spark, where)
