@@ -13,6 +13,7 @@ from pressmark.functions.html import Selector
 from pressmark.operators import articles as A, authors, classify, folds, labels, metrics, tfidf
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT
 from pressmark.plans.import_job import ImportJob
+from pressmark.operators.classify import Settings
 from pressmark.session import shared_dir
 from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus, pages as P
@@ -23,6 +24,8 @@ QUERIES: dict[str, Query] = {}
 ORDER_MONTHS = archive.month_range("06/1996", "03/1999")
 PAGE_MONTHS = archive.month_range("02/1995", "06/1995")
 SHARD_LIMIT = 40_000
+# a smaller space of hashed terms than the default, as 25 labels are fitted several times here
+HASHED = Settings(max_terms=2**16)
 
 
 def query(function: Query) -> Query:
@@ -352,14 +355,14 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def classify_documents(spark: SparkSession, folder: str) -> DataFrame:
-    model = classify.fit(T.labelled_documents(spark, folder), "text")
+    model = classify.fit(T.labelled_documents(spark, folder), "text", HASHED)
     predicted = model.predict(T.unlabelled_documents(spark, folder), "text", ["doc_id"])
     return predicted.withColumn("categories", joined(F.col("categories")))
 
 
 @query
 def kfold_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, seed=42))
+    return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, settings=HASHED, seed=42))
 
 
 @query
@@ -367,14 +370,14 @@ def classify_planted(spark: SparkSession, folder: str) -> DataFrame:
     """Labels that the texts give away, by a model that was saved and loaded again."""
     documents = T.planted_documents(spark, folder)
     path = f"{shared_dir(spark).rstrip('/')}/planted-{uuid.uuid4().hex}"
-    classify.load_or_fit(documents, path, "text")
+    classify.load_or_fit(documents, path, "text", HASHED)
     predicted = classify.load(spark, path).predict(documents, "text", ["doc_id"])
     return predicted.withColumn("categories", joined(F.col("categories")))
 
 
 @query
 def kfold_planted(spark: SparkSession, folder: str) -> DataFrame:
-    found = classify.cross_validate(T.planted_documents(spark, folder), 3, seed=42)
+    found = classify.cross_validate(T.planted_documents(spark, folder), 3, settings=HASHED, seed=42)
     return found.select("fold", "label", "tp", "fp", "fn", "tn")
 
 
