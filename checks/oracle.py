@@ -412,16 +412,3 @@ ORACLE["ascii_fold"] = f"SELECT doc_id, {fold('text')} AS text FROM documents"
 ORACLE["strip_tags"] = f"""
 SELECT page_id, {drop(drop(drop('html', _HIDDEN), _TAGS), _REFS)} AS text FROM pages"""
 ORACLE["squeeze_spaces"] = r"SELECT doc_id, trim(regexp_replace(text, '\s+', ' ', 'g')) AS text FROM documents"
-
-# planted labels are all found again, in every fold
-ORACLE["classify_planted"] = f"WITH {DOCS} SELECT doc_id, {_PIPED.format('list_sort(categories)')} AS categories FROM docs"
-ORACLE["kfold_planted"] = f"""
-WITH {DOCS}, placed AS (
-  SELECT *, row_number() OVER (ORDER BY (doc_id * 48271 + 42) % 2147483647, doc_id) - 1 AS position FROM docs),
-tested AS (
-  SELECT *, CAST(position // (SELECT count(*) // 3 FROM docs) AS INTEGER) AS fold FROM placed
-  WHERE position < 3 * (SELECT count(*) // 3 FROM docs)),
-names AS (SELECT DISTINCT unnest(categories) AS label FROM docs)
-SELECT fold, label, count(*) FILTER (list_contains(categories, label)) AS tp, 0 AS fp, 0 AS fn,
-  count(*) FILTER (NOT list_contains(categories, label)) AS tn
-FROM tested, names GROUP BY fold, label"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,7 +13,6 @@ from pressmark.operators import articles as A, authors, classify, folds, labels,
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT
 from pressmark.plans.import_job import ImportJob
 from pressmark.operators.classify import Settings
-from pressmark.session import shared_dir
 from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus, pages as P
 
@@ -365,22 +363,6 @@ def kfold_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, settings=HASHED, seed=42))
 
 
-@query
-def classify_planted(spark: SparkSession, folder: str) -> DataFrame:
-    """Labels that the texts give away, by a model that was saved and loaded again."""
-    documents = T.planted_documents(spark, folder)
-    path = f"{shared_dir(spark).rstrip('/')}/planted-{uuid.uuid4().hex}"
-    classify.load_or_fit(documents, path, "text", HASHED)
-    predicted = classify.load(spark, path).predict(documents, "text", ["doc_id"])
-    return predicted.withColumn("categories", joined(F.col("categories")))
-
-
-@query
-def kfold_planted(spark: SparkSession, folder: str) -> DataFrame:
-    found = classify.cross_validate(T.planted_documents(spark, folder), 3, settings=HASHED, seed=42)
-    return found.select("fold", "label", "tp", "fp", "fn", "tn")
-
-
 @query
 def url_slug(spark: SparkSession, folder: str) -> DataFrame:
     return T.table(spark, folder, "pages").select("url", urls.slug(F.col("url")).alias("slug"))

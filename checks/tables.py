@@ -64,13 +64,6 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(labels, "doc_id").select("doc_id", "text", categories.alias("categories"))
 
 
-def planted_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents whose text names each of their labels by a word of its own, over and over."""
-    words = F.transform("categories", lambda c: F.repeat(F.concat(F.lit(" planted"), c), 40))
-    text = F.concat("text", F.array_join(words, ""))
-    return labelled_documents(spark, folder).withColumn("text", text)
-
-
 def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id", "left_anti")
 
