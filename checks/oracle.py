@@ -66,6 +66,7 @@ hrefs AS (
   FROM pages),
 parts AS (
   SELECT *, {_LAST_URL.format(x='refs')} AS links,
+    regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS whole_html,
     regexp_extract(clean, '(?s)<article>(.*?)</article>', 1) AS inner_html,
     regexp_extract(clean, '(?s)<h1>(.*?)</h1>', 1) AS h1
   FROM hrefs),
@@ -74,7 +75,7 @@ arts AS (
     strftime(date, '%Y-%m-%d') || '-' || slug || '.md' AS file_name,
     '<p><a href="' || url || '" title="Permalink to ' || slug || '">Source</a></p>' AS permalink,
     {fold(decode(drop('h1', _TAGS)))} AS title,
-    {fold('inner_html')} AS body,
+    {fold('whole_html')} AS body,
     {fold(decode(drop('inner_html', _TAGS)))} AS body_text
   FROM parts),
 numbered AS (
@@ -122,44 +123,60 @@ sized AS (
 
 _AUTHOR = "'Public Information Office'"
 _CATEGORIES = [K.GENERIC_ACCOUNT, "Page"]
-POST = filled(
-    templates.POST_ITEM,
-    title=escape("replace(title, '\"', '''')"), pub_date="pub_date", post_id="CAST(post_id AS VARCHAR)",
-    captions=captions("wp-content/uploads/"), body="body", permalink="permalink", author=_AUTHOR,
-    post_date="post_date", slug="slug",
-    categories=" || ".join(
-        q(templates.POST_CATEGORY.format(name=c, nicename=c.lower().replace(" ", "-"))) for c in _CATEGORIES
-    ),
-    metadata=" || ".join(
-        filled(templates.POST_METADATA, key=q(k), value=v)
-        for k, v in (("_edit_last", "'1'"), ("article_author", _AUTHOR)) if k == "_edit_last"
-    ),
-)
-ATTACHMENTS = listed(
-    "images", "m",
-    filled(
-        templates.ATTACHMENT_ITEM,
-        image_id="m.id", upload_root=q(UPLOADS), folder="folder", ending="ending", pub_date="pub_date",
-        author=_AUTHOR, image_url=escape("m.url"), caption="m.caption", post_date="post_date",
-        post_id="CAST(post_id AS VARCHAR)", file="m.file",
-    ),
-)
-MARKDOWN = filled(
-    templates.MARKDOWN,
-    title="replace(title, '\"', '''')", subhead="''", author=_AUTHOR, article_author="''", role="''",
-    telephone="''", message_from="''", message_to="''", post_id="CAST(post_id AS VARCHAR)",
-    categories=" || ".join(
-        q(templates.CATEGORY_LINES.format(name=c, nicename=c.lower().replace(" ", "-"))) for c in _CATEGORIES
-    ),
-    images=listed(
+_FIXED_CATEGORIES = [(q(c), q(c.lower().replace(" ", "-"))) for c in _CATEGORIES]
+_EDITED = filled(templates.POST_METADATA, key=q("_edit_last"), value="'1'")
+
+
+def categories(template: str, names: list[tuple[str, str]]) -> str:
+    return " || ".join(filled(template, name=name, nicename=nicename) for name, nicename in names)
+
+
+def unquoted(x: str) -> str:
+    return f"replace({x}, '\"', '''')"
+
+
+def post(author: str, names: list[tuple[str, str]], metadata: str) -> str:
+    return filled(
+        templates.POST_ITEM,
+        title=escape(unquoted("title")), pub_date="pub_date", post_id="CAST(post_id AS VARCHAR)",
+        captions=captions("wp-content/uploads/"), body="body", permalink="permalink", author=author,
+        post_date="post_date", slug="slug", categories=categories(templates.POST_CATEGORY, names), metadata=metadata,
+    )
+
+
+def attachments(author: str) -> str:
+    return listed(
         "images", "m",
         filled(
-            templates.MARKDOWN_IMAGE, image_url="m.url", image_id="m.id", caption="replace(m.caption, '\"', '''')",
-            upload_root=q(UPLOADS), folder="folder", ending="ending", file="m.file",
+            templates.ATTACHMENT_ITEM,
+            image_id="m.id", upload_root=q(UPLOADS), folder="folder", ending="ending", pub_date="pub_date",
+            author=author, image_url=escape("m.url"), caption="m.caption", post_date="post_date",
+            post_id="CAST(post_id AS VARCHAR)", file="m.file",
         ),
-    ),
-    captions=captions(""), body="body", permalink="permalink",
-)
+    )
+
+
+def markdown(author: str, names: list[tuple[str, str]], **optional: str) -> str:
+    fields = ("subhead", "article_author", "role", "telephone", "message_from", "message_to")
+    return filled(
+        templates.MARKDOWN,
+        title=unquoted("title"), author=author, post_id="CAST(post_id AS VARCHAR)",
+        categories=categories(templates.CATEGORY_LINES, names),
+        images=listed(
+            "images", "m",
+            filled(
+                templates.MARKDOWN_IMAGE, image_url="m.url", image_id="m.id", caption=unquoted("m.caption"),
+                upload_root=q(UPLOADS), folder="folder", ending="ending", file="m.file",
+            ),
+        ),
+        captions=captions(""), body="body", permalink="permalink",
+        **{name: f"coalesce({optional[name]}, '')" if name in optional else "''" for name in fields},
+    )
+
+
+POST = post(_AUTHOR, _FIXED_CATEGORIES, _EDITED)
+ATTACHMENTS = attachments(_AUTHOR)
+MARKDOWN = markdown(_AUTHOR, _FIXED_CATEGORIES)
 
 ORACLE["article_rows"] = f"""
 WITH cut AS (
@@ -186,22 +203,60 @@ named AS (
 located AS (
   SELECT *, {q(SITE)} || strftime(date, '/%Y/%m/') || 'doc-' || n || '.html' AS url FROM named)
 """
-ORACLE["article_fields"] = f"""
-WITH {NEWS}, accounts(alias, account) AS (VALUES {_ACCOUNTS})
+_KEPT = '<!-- <p>hidden</p> --><script>w("</div><a href=x>&eacute;");</script><style>a {}</style>'
+_FIELDS = f"""
 SELECT url,
   strftime(date, '%Y-%m-%d') || '-doc-' || n || '.md' AS file_name,
   '<p><a href="' || url || '" title="Permalink to doc-' || n || '">Source</a></p>' AS source_permalink,
   coalesce(account, {_AUTHOR}) AS author,
   CASE WHEN account IS NULL THEN name END AS article_author,
-  'Writer' AS article_author_title, '555-' || n AS article_author_telephone,
+  CASE WHEN doc_id % 7 <> 4 THEN 'Writer' END AS article_author_title,
+  CASE WHEN doc_id % 6 <> 1 THEN '555-' || n END AS article_author_telephone,
   lang || '|A & B' AS categories,
   CASE WHEN doc_id % 2 = 0 THEN 'Dean ' || n END AS message_from,
   CASE WHEN doc_id % 2 = 0 THEN 'All' END AS message_to,
-  CAST(date AS VARCHAR) AS date, 'Title "' || n || '" cafe' AS title, 'Sub ' || source AS subhead,
-  '<p>' || {fold(escape('text'))} || '</p><div><a class="more" href="{SITE}/doc/' || n
+  CAST(date AS VARCHAR) AS date, 'Title "' || n || '" cafe' AS title,
+  CASE WHEN doc_id % 5 <> 2 THEN 'Sub "' || source || '"' END AS subhead,
+  '<p>' || {fold(escape('text'))} || '</p>{_KEPT}<div><a class="more" href="{SITE}/doc/' || n
     || '?a=1&amp;b=2">more</a></div><a name="here"></a>' AS article_body,
   {fold('text')} || 'more' AS article_body_no_html
 FROM located LEFT JOIN accounts ON alias = lower(name)"""
+NEWS_FIELDS = f"{NEWS}, accounts(alias, account) AS (VALUES {_ACCOUNTS}), fields AS ({_FIELDS})"
+ORACLE["article_fields"] = f"WITH {NEWS_FIELDS} SELECT * FROM fields"
+# two images and a post for every article
+NEWS_IDS = f"""
+{NEWS_FIELDS}, numbered AS (
+  SELECT *, source_permalink AS permalink, article_body AS body, row_number() OVER (ORDER BY url) - 1 AS nth
+  FROM fields JOIN (SELECT url, n, lang, date AS day FROM located) USING (url)),
+sized AS (
+  SELECT *, CAST(1003 + 3 * nth AS BIGINT) AS post_id, 'doc-' || n AS slug, 'doc-' || n || '.html' AS ending,
+    strftime(day, '%Y/%m/') AS folder, strftime(day, '%a, %d %b %Y 00:00:00 -0000') AS pub_date,
+    strftime(day, '%Y-%m-%d 00:00:00') AS post_date,
+    [{{'id': CAST(CAST(1001 + 3 * nth AS BIGINT) AS VARCHAR), 'url': '{SITE}/pics/a%20' || n || '.jpg',
+       'caption': 'One ' || n, 'file': 'a20' || n || '.jpg', 'width': '30', 'height': '20'}},
+     {{'id': CAST(CAST(1002 + 3 * nth AS BIGINT) AS VARCHAR), 'url': '{SITE}' || strftime(day, '/%Y/') || 'b%20' || n || '.png',
+       'caption': '', 'file': 'b20' || n || '.png', 'width': '', 'height': ''}}] AS images
+  FROM numbered)
+"""
+NEWS_POST = post(
+    "author", [("lang", "lang"), ("'A & B'", "'a-&amp;-b'")],
+    _EDITED + "".join(
+        " || coalesce(" + filled(templates.POST_METADATA, key=q(k), value=unquoted(k) if k == "subhead" else k) + ", '')"
+        for k in ("subhead", "article_author", "article_author_title", "article_author_telephone", "message_from", "message_to")
+    ),
+)
+NEWS_ITEM = f"{NEWS_POST} || {attachments('author')}"
+NEWS_MARKDOWN = markdown(
+    "author", [("lang", "lang"), ("'A & B'", "'a-&-b'")], subhead=unquoted("subhead"), article_author="article_author",
+    role="article_author_title", telephone="article_author_telephone", message_from="message_from", message_to="message_to",
+)
+ORACLE["image_sizes_filled"] = f"""
+WITH {NEWS}, known AS (SELECT * FROM located JOIN part ON p_partkey = doc_id)
+SELECT url, '{SITE}/pics/a%20' || n || '.jpg' AS image_url, '30' AS image_width, '20' AS image_height FROM known
+UNION ALL
+SELECT url, '{SITE}' || strftime(date, '/%Y/') || 'b%20' || n || '.png', CAST(p_size AS VARCHAR), CAST(p_size + 1 AS VARCHAR) FROM known
+UNION ALL
+SELECT url, '{SITE}/logo.png', CAST((SELECT max(p_size) FROM part) AS VARCHAR), '1em' FROM known"""
 ORACLE["article_images"] = f"""
 WITH {NEWS}
 SELECT url, '{SITE}/pics/a%20' || n || '.jpg' AS image_url, 'One ' || n AS image_caption,
@@ -228,8 +283,8 @@ FROM pages"""
 _IN_MONTHS = f"{day('page_id')} BETWEEN DATE '1995-02-01' AND DATE '1995-06-30'"
 _MONTH_URL = f"{q(SITE)} || strftime({day('page_id')}, '/%Y/%m/')"
 ORACLE["site_links"] = f"""
-SELECT {_MONTH_URL} AS archive_url, {_MONTH_URL} || 'p' || page_id || '.html' AS article_url
-FROM pages WHERE {_IN_MONTHS}"""
+SELECT {_MONTH_URL} AS archive_url, {_MONTH_URL} || kind || 'p' || page_id || '.html' AS article_url
+FROM pages, (VALUES (''), ('q')) AS kinds(kind) WHERE {_IN_MONTHS}"""
 ORACLE["articles_in_range"] = f"""
 WITH {PAGES}
 SELECT {q(SITE)} || strftime(date, '/%Y/%m/') || 'p' || page_id || '.html' AS url,
@@ -263,9 +318,12 @@ FROM pages GROUP BY 1"""
 ORACLE["object_ids"] = f"""
 WITH {PAGES} SELECT url, post_id,
   coalesce(list_aggregate(list_transform(images, lambda m: m.id), 'string_agg', ','), '') AS image_ids FROM ids"""
-_SHARDS = f"""
+
+
+def shards(item: str) -> str:
+    return f"""
 items AS (
-  SELECT *, {POST} || {ATTACHMENTS} AS item, row_number() OVER (ORDER BY url) AS place FROM sized),
+  SELECT *, {item} AS item, row_number() OVER (ORDER BY url) AS place FROM sized),
 lengths AS (SELECT place, octet_length(encode(item)) AS bytes FROM items),
 shards AS (
   SELECT place, 0 AS file_no, {len(templates.IMPORT_HEADER)} + bytes AS size FROM lengths WHERE place = 1
@@ -274,15 +332,22 @@ shards AS (
     CASE WHEN s.size > 40000 THEN {len(templates.IMPORT_HEADER)} ELSE s.size END + l.bytes
   FROM shards s JOIN lengths l ON l.place = s.place + 1)
 """
+
+
+_SHARDS = shards(f"{POST} || {ATTACHMENTS}")
+_FILES = f"""
+SELECT 'import-' || file_no || '.xml' AS file_name,
+  {q(templates.IMPORT_HEADER)} || string_agg(item, '' ORDER BY place) || {q(templates.IMPORT_FOOTER)} AS content
+FROM items JOIN shards USING (place) GROUP BY file_no"""
 ORACLE["import_shards"] = f"""
 WITH RECURSIVE {PAGES}, {SIZED}, {_SHARDS}
 SELECT CAST(file_no AS BIGINT) AS file_no, count(*) AS items, CAST(max(size) AS BIGINT) AS bytes
 FROM shards GROUP BY 1"""
-ORACLE["import_files"] = f"""
-WITH RECURSIVE {PAGES}, {SIZED}, {_SHARDS}
-SELECT 'import-' || file_no || '.xml' AS file_name,
-  {q(templates.IMPORT_HEADER)} || string_agg(item, '' ORDER BY place) || {q(templates.IMPORT_FOOTER)} AS content
-FROM items JOIN shards USING (place) GROUP BY file_no"""
+ORACLE["import_files"] = f"WITH RECURSIVE {PAGES}, {SIZED}, {_SHARDS} {_FILES}"
+ORACLE["import_news_files"] = f"WITH RECURSIVE {NEWS_IDS}, {shards(NEWS_ITEM)} {_FILES}"
+ORACLE["render_news_items"] = f"WITH {NEWS_IDS} SELECT url, {NEWS_ITEM} AS item FROM sized"
+ORACLE["render_news_markdown"] = f"""
+WITH {NEWS_IDS} SELECT file_name, arg_max({NEWS_MARKDOWN}, url) AS content FROM sized GROUP BY 1"""
 ORACLE["render_items"] = f"WITH {PAGES}, {SIZED} SELECT url, {POST} AS item FROM sized"
 ORACLE["render_attachments"] = f"WITH {PAGES}, {SIZED} SELECT url, {ATTACHMENTS} AS items FROM sized"
 ORACLE["render_captions"] = f"WITH {PAGES}, {SIZED} SELECT url, {captions('')} AS captions FROM sized"

@@ -53,8 +53,22 @@ def article_fields(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def article_images(spark: SparkSession, folder: str) -> DataFrame:
     rows = A.accepted(A.extract(T.news_pages(spark, folder), NEWS_LAYOUT))
-    images = rows.select("url", F.inline("images"))
-    return images.withColumns({c: F.col(c).cast("string") for c in ("image_width", "image_height")})
+    return rows.select("url", F.inline("images"))
+
+
+@query
+def image_sizes_filled(spark: SparkSession, folder: str) -> DataFrame:
+    # every page shows the logo; parts stand in for the images of the pages
+    logo = '<figure class="article-image"><img src="/logo.png" height="1em"></figure><div class="article-body">'
+    pages = T.news_pages(spark, folder)
+    pages = pages.withColumn("html", F.replace("html", F.lit('<div class="article-body">'), F.lit(logo)))
+    parts = T.table(spark, folder, "part")
+    image = F.concat(F.lit(f"{T.SITE}/"), F.date_format(T.day_of("p_partkey"), "yyyy"), F.lit("/b%20"), "p_partkey", F.lit(".png"))
+    sizes = parts.select(image.alias("image_url"), F.col("p_size").alias("width"), (F.col("p_size") + 1).alias("height"))
+    logos = parts.groupBy(F.lit(f"{T.SITE}/logo.png").alias("image_url")).agg(
+        F.max("p_size").alias("width"), F.max("p_size").alias("height"))
+    rows = A.accepted(A.extract(pages, NEWS_LAYOUT, sizes=sizes.unionByName(logos)))
+    return rows.select("url", F.inline("images")).drop("image_caption")
 
 
 @query
@@ -214,6 +228,22 @@ def render_markdown(spark: SparkSession, folder: str) -> DataFrame:
     return writers.markdown_files(T.numbered_articles(spark, folder), T.UPLOADS)
 
 
+@query
+def render_news_items(spark: SparkSession, folder: str) -> DataFrame:
+    return T.numbered_news(spark, folder).select("url", render.import_item(T.UPLOADS).alias("item"))
+
+
+@query
+def render_news_markdown(spark: SparkSession, folder: str) -> DataFrame:
+    return writers.markdown_files(T.numbered_news(spark, folder), T.UPLOADS)
+
+
+@query
+def import_news_files(spark: SparkSession, folder: str) -> DataFrame:
+    items = writers.import_items(T.numbered_news(spark, folder), T.UPLOADS)
+    return writers.import_files(items, SHARD_LIMIT).select("file_name", "content")
+
+
 @query
 def corpus_render(spark: SparkSession, folder: str) -> DataFrame:
     content = render.training_document(F.col("categories"), F.col("text"))

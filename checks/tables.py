@@ -8,7 +8,7 @@ from pressmark import constants as K
 from pressmark.functions import html as H
 from pressmark.functions.html import Selector
 from pressmark.functions.urls import percent_spaces, resolve
-from pressmark.operators.articles import PLAIN_LAYOUT, accepted, extract, last_of_each
+from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT, accepted, extract, last_of_each
 from pressmark.operators.order import assign_ids
 from pressmark.session import spread, stage
 
@@ -39,8 +39,8 @@ def plain_articles(spark: SparkSession, folder: str) -> DataFrame:
         return F.struct(
             percent_spaces(resolve(F.col("url"), href)).alias("image_url"),
             F.concat(F.lit('Link "'), href, F.lit('"')).alias("image_caption"),
-            (i + 100).cast("int").alias("image_width"),
-            (i + 200).cast("int").alias("image_height"),
+            (i + 100).cast("string").alias("image_width"),
+            (i + 200).cast("string").alias("image_height"),
         )
 
     links = source.select("url", last_of_each(F.transform(hrefs, image), "image_url").alias("images"))
@@ -52,6 +52,10 @@ def numbered_articles(spark: SparkSession, folder: str) -> DataFrame:
     return assign_ids(stage(plain_articles(spark, folder), "articles"), start_index=1000)
 
 
+def numbered_news(spark: SparkSession, folder: str) -> DataFrame:
+    return assign_ids(stage(accepted(extract(news_pages(spark, folder), NEWS_LAYOUT)), "news"), start_index=1000)
+
+
 def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents with labels, as categories: language, source, quality and toxicity."""
     documents, labels = spread(table(spark, folder, "documents")), table(spark, folder, "labels")
@@ -87,28 +91,33 @@ def news_pages(spark: SparkSession, folder: str) -> DataFrame:
     image = (
         '<figure class="wide article-image"><img alt="x" src="/pics/a {n}.jpg" width="30" height=20>'
         '<figcaption class="caption"> One\n  {n} </figcaption></figure>'
-        '<figure class="article-image"><p>none</p></figure>'
-        '<figure class="article-image"><img src="../b%20{n}.png"></figure>'
+        '<figure class="article-image"><figure class="article-image"><p>none</p></figure>'
+        '<img src="../b%20{n}.png"></figure>'
     )
 
     def numbered(text: str) -> Column:
         return F.replace(F.lit(text), F.lit("{n}"), number)
 
+    def some(absent: Column, *parts: Column) -> Column:
+        return F.when(absent, F.lit("")).otherwise(F.concat(*parts))
+
     html = F.concat(
         F.lit('<html><head><meta name="category" content="'), F.col("lang"),
         F.lit('"><meta content=\'A &amp; B\' name="category"><script>var s="<div id=\'main\'>";</script></head>'),
         F.lit('<body><div class="nav"><div>x</div></div><div id="'),
         F.when(F.col("doc_id") % 17 == 7, F.lit("other")).otherwise(F.lit("main")),
-        F.lit('"><h1 id="title">Title "'), number, F.lit('" <b>caf&eacute;</b></h1><p class="subhead">Sub '),
-        F.col("source"), F.lit('</p><p class="date">'), date, F.lit('</p><span class="by name">'), named,
-        F.lit('</span><span class="role">Writer</span><span class="tel">555-'), number, F.lit("</span>"),
+        F.lit('"><h1 id="title">Title "'), number, F.lit('" <b>caf&eacute;</b></h1>'),
+        some(F.col("doc_id") % 5 == 2, F.lit('<p class="subhead">Sub "'), F.col("source"), F.lit('"</p>')),
+        F.lit('<p class="date">'), date, F.lit('</p><span class="by name">'), named, F.lit("</span>"),
+        some(F.col("doc_id") % 7 == 4, F.lit('<span class="role">Writer</span>')),
+        some(F.col("doc_id") % 6 == 1, F.lit('<span class="tel">555-'), number, F.lit("</span>")),
         F.when(
             F.col("doc_id") % 2 == 0,
             F.concat(F.lit('<span class="message-from">Dean '), number, F.lit('</span><span class="message-to">All</span>')),
         ).otherwise(F.lit("")),
         numbered(image),
         F.lit('<div class="article-body"><p>'), escaped(F.col("text")),
-        F.lit('</p><!-- <p>hidden</p> --><div><a class="more" href="/doc/'), number,
+        F.lit('</p><!-- <p>hidden</p> --><script>w("</div><a href=x>&eacute;");</script><style>a {}</style><div><a class="more" href="/doc/'), number,
         F.lit('?a=1&amp;b=2">more</a></div><a name="here"></a></div><p>after</p></div><div>foot</div></body></html>'),
     )
     url = F.concat(F.lit(f"{SITE}/"), F.date_format(day, "yyyy/MM/"), F.lit("doc-"), number, F.lit(".html"))
@@ -122,8 +131,8 @@ def site_pages(spark: SparkSession, folder: str) -> DataFrame:
     given = pages(spark, folder)
     articles = given.select("page_id", F.concat(month, name).alias("url"), "html", "date")
     listing = F.concat(
-        F.lit('<nav><a href="no">no</a></nav><ul class="archive-list"><li><ul><li><a href="'), name,
-        F.lit('">1</a></li></ul></li><li><a href="'), name, F.lit('">2</a><a>none</a></li></ul><a href="out">x</a>'),
+        F.lit('<nav><a href="no">no</a></nav><ul class="archive-list"><li><ul class="archive-list"><li><a href="'), name,
+        F.lit('">1</a></li></ul></li><!-- <a href="old"> --><li><a href="q'), name, F.lit('">2</a><a>none</a></li></ul><a href="out">x</a>'),
     )
     archives = given.select("page_id", month.alias("url"), listing.alias("html"), "date")
     return articles.unionByName(archives)

@@ -47,12 +47,47 @@ def _to_attribute(name: str) -> str:
     return rf"""(?:\s++(?!{name}\s*=)|"[^"]*+"|'[^']*+'|[^\s"'<>]++)*+\s++{name}\s*+=\s*+"""
 
 
+# Comments, scripts and styles, which hold no elements.
+_HIDDEN = r"(?s)<(?:!--.*?-->|(?i:script)\b[^>]*+>.*?</(?i:script)\s*>|(?i:style)\b[^>]*+>.*?</(?i:style)\s*>)"
+# Noncharacters, which no text may hold: begin and end of a masked part, and its brackets.
+_BEGIN, _END, _LESS, _GREATER = "\ufdd0", "\ufdd1", "\ufdd2", "\ufdd3"
+
+
+def mask_hidden(html: Column) -> Column:
+    """Mark comments, scripts and styles and change their brackets, so that no pattern finds a tag in them."""
+
+    def mark(part: Column) -> Column:
+        return F.concat(F.lit(_BEGIN), F.translate(part, "<>", _LESS + _GREATER), F.lit(_END))
+
+    def marked(h: Column) -> Column:
+        parts = F.regexp_extract_all(h, F.lit(_HIDDEN), 0)
+        pairs = F.zip_with(
+            F.split(h, _HIDDEN), parts, lambda text, part: F.concat(text, F.coalesce(mark(part), F.lit("")))
+        )
+        return F.array_join(pairs, "")
+
+    marks = _BEGIN + _END + _LESS + _GREATER
+    free = F.when(html.rlike(f"[{marks}]"), F.translate(html, marks, "")).otherwise(html)
+    return once(free, lambda h: F.when(h.rlike("(?i)<(?:!--|script|style)"), marked(h)).otherwise(h))
+
+
+def without_masked(html: Column) -> Column:
+    return F.regexp_replace(html, f"{_BEGIN}[^{_END}]*+{_END}", "")
+
+
+def map_shown(html: Column, shown: Callable[[Column], Column], hidden: Callable[[Column], Column]) -> Column:
+    """Apply one function to what is between masked parts and another to these parts as they were."""
+
+    def piece(p: Column) -> Column:
+        bare = F.translate(p, _LESS + _GREATER + _BEGIN + _END, "<>")
+        return F.when(p.startswith(_BEGIN), hidden(bare)).otherwise(shown(p))
+
+    return F.array_join(F.transform(F.split(html, f"(?={_BEGIN})|(?<={_END})"), piece), "")
+
+
 def without_hidden(html: Column, keep_script: bool = False) -> Column:
     """Drop comments and, unless told otherwise, script and style elements."""
-    kinds = r"!--.*?-->"
-    if not keep_script:
-        kinds += r"|(?i:script)\b[^>]*+>.*?</(?i:script)\s*>|(?i:style)\b[^>]*+>.*?</(?i:style)\s*>"
-    return F.regexp_replace(html, f"(?s)<(?:{kinds})", "")
+    return F.regexp_replace(html, "(?s)<!--.*?-->" if keep_script else _HIDDEN, "")
 
 
 def _inner_flat(html: Column, selector: Selector) -> Column:
@@ -106,13 +141,27 @@ def inner_html(html: Column, selector: Selector) -> Column:
     return once(rest, lambda r: F.when(r != "", _cut_element(r, selector.tag)))
 
 
-def all_inner_html(html: Column, selector: Selector) -> Column:
-    """Inner HTML of every matching element, in order of their opening tags."""
-    after_openings = F.split(html, rf"(?is){selector.open_tag()}")
-    return F.transform(
-        F.slice(after_openings, 2, F.size(after_openings)),
-        lambda rest: _cut_element(F.concat(F.lit(f"<{selector.tag}>"), rest), selector.tag),
-    )
+def all_inner_html(
+    html: Column, selector: Selector, body: Callable[[Column], Column] = lambda inner: inner
+) -> Column:
+    """``body`` of the inner HTML of every matching element, nested ones too, in order of their opening tags.
+
+    The page is cut before every opening tag. An element that ends before the next opening is
+    cut out of its own piece, so only pages with nested matches read a piece more than once.
+    """
+    opened, closed = F.lit(rf"(?i)<{selector.tag}(?=[\s/>])"), F.lit(rf"(?i)</{selector.tag}(?=[\s/>])")
+
+    def element(pieces: Column, piece: Column, i: Column) -> Column:
+        whole = F.regexp_count(piece, closed) >= F.regexp_count(piece, opened)
+        rest = F.when(whole, piece).otherwise(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), ""))
+        return body(_cut_element(rest, selector.tag))
+
+    def elements(pieces: Column) -> Column:
+        found = F.transform(pieces, lambda piece, i: F.when(i > 0, element(pieces, piece, i)))
+        return F.slice(found, 2, F.size(found))
+
+    # the space keeps an opening at the very beginning from being the first piece
+    return once(F.split(F.concat(F.lit(" "), html), rf"(?is)(?={selector.open_tag()})"), elements)
 
 
 def open_tags(html: Column, selector: Selector) -> Column:

@@ -79,7 +79,7 @@ def categories(page: Column, layout: Layout) -> Column:
 
 
 def images(section: Column, url: Column, layout: Layout) -> Column:
-    """The image of every figure that has one; of a repeated image URL the last stays."""
+    """The image of every figure that has one; of a repeated image URL the last stays. Sizes are as declared, also no numbers."""
     if layout.figure is None:
         return F.array().cast(schemas.ARTICLES["images"].dataType)
 
@@ -91,13 +91,13 @@ def images(section: Column, url: Column, layout: Layout) -> Column:
             return F.struct(
                 percent_spaces(resolve(url, source)).alias("image_url"),
                 or_empty(ascii_fold(squeeze_spaces(caption))).alias("image_caption"),
-                H.attribute(tag, "width").try_cast("int").alias("image_width"),
-                H.attribute(tag, "height").try_cast("int").alias("image_height"),
+                H.attribute(tag, "width").alias("image_width"),
+                H.attribute(tag, "height").alias("image_height"),
             )
 
         return once(H.attribute(tag, "src"), lambda source: F.when(source.isNotNull(), described(source)))
 
-    found = F.array_compact(F.transform(H.all_inner_html(section, layout.figure), image))
+    found = F.array_compact(H.all_inner_html(section, layout.figure, image))
     return last_of_each(found, "image_url")
 
 
@@ -118,9 +118,16 @@ def last_of_each(items: Column, key: str) -> Column:
 
 
 def body_html(section: Column, url: Column) -> Column:
-    """HTML of the body element with absolute links and ASCII text; empty when the page has none."""
-    linked = H.map_link_targets(section, lambda target: resolve(url, target))
-    return or_empty(H.map_text(linked, lambda t: ascii_fold(decode_references(t, markup=False))))
+    """HTML of the body element with absolute links and ASCII text; empty when the page has none.
+
+    Masked parts are put back in ASCII and are not changed otherwise.
+    """
+
+    def shown(html: Column) -> Column:
+        linked = H.map_link_targets(html, lambda target: resolve(url, target))
+        return H.map_text(linked, lambda t: ascii_fold(decode_references(t, markup=False)))
+
+    return or_empty(H.map_shown(section, shown, ascii_fold))
 
 
 def permalink(url: Column, url_slug: Column) -> Column:
@@ -135,20 +142,25 @@ def extract(
     accounts: DataFrame | None = None,
     sizes: DataFrame | None = None,
     carry: Sequence[str] = (),
+    keep_hidden: bool = True,
 ) -> DataFrame:
     """One row per page with all article fields and ``reason``, null for an accepted page.
 
-    ``carry`` names further page columns to keep, such as the order of fetching.
+    ``carry`` names further page columns to keep, such as the order of fetching. Scripts, styles
+    and comments stay in the body's HTML if ``keep_hidden``; all other fields are without them.
     """
     day = ["date"] if layout.date is None else []
     fetched = with_fetch_reason(spread(pages))
     cleaned = fetched.select(
         "url", *carry, *day, F.col("reason").alias("_fetch"), slug(F.col("url")).alias("_slug"),
-        H.without_hidden(F.col("html")).alias("_page"),
+        H.mask_hidden(F.col("html")).alias("_page"),
+    )
+    sections = cleaned.select("*", H.inner_html(F.col("_page"), layout.main).alias("_masked"))
+    sections = sections.select(
+        "*", H.without_masked(F.col("_masked")).alias("_main"), H.inner_html(F.col("_masked"), layout.body).alias("_body")
     )
-    sections = cleaned.select("*", H.inner_html(F.col("_page"), layout.main).alias("_main"))
-    sections = sections.select("*", H.inner_html(F.col("_main"), layout.body).alias("_body"))
     main, url = F.col("_main"), F.col("url")
+    shown = H.without_masked(F.col("_body"))
     found = parse_month_day_year(date_text(H.text_of(main, layout.date))) if layout.date else F.col("date")
     fields = sections.select(
         "url", *carry, "_fetch", "_slug", main.isNotNull().alias("_has_main"),
@@ -162,8 +174,8 @@ def extract(
         _text(main, layout.title).alias("title"),
         _text(main, layout.subhead).alias("subhead"),
         images(main, url, layout).alias("images"),
-        body_html(F.col("_body"), url).alias("article_body"),
-        ascii_fold(H.visible_text(F.col("_body"))).alias("article_body_no_html"),
+        body_html(F.col("_body") if keep_hidden else shown, url).alias("article_body"),
+        ascii_fold(H.visible_text(shown)).alias("article_body_no_html"),
     )
     reason = (
         F.when(F.col("_fetch").isNotNull(), F.col("_fetch"))
@@ -208,8 +220,8 @@ def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
         return F.struct(
             image["image_url"].alias("image_url"),
             image["image_caption"].alias("image_caption"),
-            F.coalesce(image["image_width"], size["width"]).alias("image_width"),
-            F.coalesce(image["image_height"], size["height"]).alias("image_height"),
+            F.coalesce(image["image_width"], size["width"].cast("string")).alias("image_width"),
+            F.coalesce(image["image_height"], size["height"].cast("string")).alias("image_height"),
         )
 
     joined = articles.join(pairs, "url", "left")

@@ -12,7 +12,7 @@ from pressmark.operators.articles import NEWS_LAYOUT, Layout, accepted, extract,
 from pressmark.operators.order import assign_ids
 from pressmark.session import job, stage
 from pressmark.sinks import writers
-from pressmark.sources.archive import ARCHIVE_LIST, month_archives, site_links
+from pressmark.sources.archive import ARCHIVE_LIST, below_archives, month_archives, site_links
 
 
 @dataclass(frozen=True)
@@ -31,8 +31,10 @@ class ImportJob:
         """Article rows, accepted or not, of all links in the archives of a month range.
 
         ``pages`` holds archive and article pages; ``order`` is its column of fetching order.
-        Links are made distinct before any article page is looked at.
+        Links are made distinct before any article page is looked at. Both readings of the
+        pages skip, in the scan, what cannot be in the months.
         """
+        pages = pages.where(below_archives(F.col("url"), self.site, first, last))
         archives = month_archives(pages.sparkSession, self.site, first, last)
         links = site_links(pages, archives, ARCHIVE_LIST).select(F.col("article_url").alias("url")).distinct()
         wanted = pages.join(links, "url", "left_semi")

@@ -8,8 +8,8 @@ IMAGE = T.StructType(
     [
         T.StructField("image_url", T.StringType()),
         T.StructField("image_caption", T.StringType()),
-        T.StructField("image_width", T.IntegerType()),
-        T.StructField("image_height", T.IntegerType()),
+        T.StructField("image_width", T.StringType()),
+        T.StructField("image_height", T.StringType()),
     ]
 )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressmark import constants as K
 from pressmark.functions.dates import month_of, upload_folder
-from pressmark.functions.html import Selector, all_inner_html, attribute, open_tags
+from pressmark.functions.html import Selector, all_inner_html, attribute, open_tags, without_hidden
 from pressmark.sources.pages import with_fetch_reason
 
 ARCHIVE_LIST = Selector("ul", "class", "archive-list")
@@ -57,8 +57,19 @@ def month_archives(spark: SparkSession, site: str, first: datetime.date, last: d
 
 def in_months(day: Column, first: datetime.date, last: datetime.date) -> Column:
     """Whether a day lies in the month range; a plain comparison, so it reaches the scan."""
-    after = (last.replace(day=28) + datetime.timedelta(days=4)).replace(day=1)
-    return (day >= F.lit(first)) & (day < F.lit(after))
+    return (day >= F.lit(first)) & (day < F.lit(month_after(last)))
+
+
+def month_after(month: datetime.date) -> datetime.date:
+    return (month.replace(day=28) + datetime.timedelta(days=4)).replace(day=1)
+
+
+def below_archives(url: Column, site: str, first: datetime.date, last: datetime.date) -> Column:
+    """Whether a URL is a month archive of the range or begins with one, as all links of archives do.
+
+    Month archives are in order as texts, so this is a plain comparison that reaches the scan.
+    """
+    return (url >= archive_url(site, F.lit(first))) & (url < archive_url(site, F.lit(month_after(last))))
 
 
 def archive_links(pages: DataFrame, archive_list: Selector = ARCHIVE_LIST) -> DataFrame:
@@ -68,7 +79,7 @@ def archive_links(pages: DataFrame, archive_list: Selector = ARCHIVE_LIST) -> Da
     """
     accepted = with_fetch_reason(pages).where(F.col("reason").isNull())
     tags = F.flatten(
-        F.transform(all_inner_html(F.col("html"), archive_list), lambda block: open_tags(block, Selector("a")))
+        all_inner_html(without_hidden(F.col("html")), archive_list, lambda block: open_tags(block, Selector("a")))
     )
     hrefs = F.array_distinct(F.array_compact(F.transform(tags, lambda tag: attribute(tag, "href"))))
     return (

@@ -59,8 +59,8 @@ def test_full_page(rows):
 def test_images(rows):
     found = [tuple(i) for i in rows["full.html"]["images"]]
     assert found == [
-        ("http://h.com/2011/z.png", "", 5, 6),
-        ("http://h.com/i/a%20b.jpg", "", 30, None),
+        ("http://h.com/2011/z.png", "", "5", "6"),
+        ("http://h.com/i/a%20b.jpg", "", "30", None),
     ]
 
 
@@ -116,6 +116,26 @@ def png(width: int, height: int) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", head) + chunk(b"IDAT", zlib.compress(lines)) + chunk(b"IEND", b"")
 
 
+NESTED = """<div id="main"><p class="date">March 3, 2011</p>
+<figure class="article-image"><figure class="article-image"><img src="/in.png" width="100%"></figure>
+<figcaption class="caption">out</figcaption></figure><figure class="article-image"><img src="/open.png">
+<div class="article-body"><p>h\xe9</p><script src="w.js">"</div>\xe9&eacute;"</script><!-- </div><a href="c"> --><style>p {}</style><a href="d">e</a></div></div>"""
+
+
+def test_body_keeps_hidden_parts_and_figures_nest(spark):
+    frame = spark.createDataFrame([("http://h.com/p.html", NESTED)], "url string, html string")
+    row = A.extract(frame).first()
+    assert row["article_body"] == (
+        '<p>he</p><script src="w.js">"</div>e&eacute;"</script><!-- </div><a href="c"> --><style>p {}</style>'
+        '<a href="http://h.com/d">e</a>'
+    )
+    assert row["article_body_no_html"] == "hee"
+    assert [tuple(i) for i in row["images"]] == [
+        ("http://h.com/in.png", "", "100%", None), ("http://h.com/open.png", "", None, None)
+    ]
+    assert A.extract(frame, keep_hidden=False).first()["article_body"] == '<p>he</p><a href="http://h.com/d">e</a>'
+
+
 def test_image_sizes(spark, tmp_path):
     (tmp_path / "b.png").write_bytes(png(7, 3))
     (tmp_path / "broken.png").write_bytes(b"no image")
@@ -127,7 +147,7 @@ def test_image_sizes(spark, tmp_path):
     twice = sizes.unionByName(sizes.withColumn("height", F.col("height") - 1))
     rows = A.extract(spark.createDataFrame(made, "url string, html string"), sizes=twice)
     found = {r["url"]: r for r in rows.collect()}
-    assert tuple(found["http://h.com/p.html"]["images"][0])[2:] == (7, 3)
+    assert tuple(found["http://h.com/p.html"]["images"][0])[2:] == ("7", "3")
     assert found["http://h.com/p.html"]["reason"] is None
     assert found["http://h.com/q.html"]["reason"] == A.NO_IMAGE_SIZE
 
