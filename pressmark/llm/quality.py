@@ -19,6 +19,7 @@ every score is 0.5. Neighbours at equal similarity count in the order of the sam
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -142,13 +143,15 @@ def train(documents: DataFrame, labels: DataFrame, label: str, settings: Neighbo
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [c for part in trigram_counts(batch.column("text"), settings.features) for c in part]
-            packed = [np.minimum(c, 65_535).astype("<u2").tobytes() for c in counts]
+            packed = [zlib.compress(c.astype("<u4").tobytes(), 1) for c in counts]
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("label")], names=["counts", "label"])
 
     sample = labelled_sample(documents, labels.select("doc_id", F.col(label).cast("int").alias("label")), ["label"], settings.sample)
     rows = sorted(sample.mapInArrow(vectors, "counts binary, label int").collect())  # at most settings.sample rows
-    counts = np.frombuffer(b"".join(bytes(r["counts"]) for r in rows), dtype="<u2").reshape(len(rows), settings.features)
-    return _fit(counts.astype(np.float32), np.array([r["label"] for r in rows], dtype=np.float32), settings)
+    counts = np.zeros((len(rows), settings.features), dtype=np.float32)
+    for count, row in zip(counts, rows):
+        count[:] = np.frombuffer(zlib.decompress(row["counts"]), dtype="<u4")
+    return _fit(counts, np.array([r["label"] for r in rows], dtype=np.float32), settings)
 
 
 def score(text: Column, model: Broadcast) -> Column:
