@@ -8,9 +8,11 @@ the document in that position, and the document is contaminated if some ``window
 consecutive words that hold the seed agree in ``percent`` of a hundred. With the default
 masks every window of 13 words with up to two replaced words holds a seed, wherever they are.
 
-The benchmark's seeds go to every task if there are at most ``broadcast_rows`` of them
-(counted first, at most 18 words each); beyond that both sides are joined by seed. Texts are read
-once and are not shuffled in the first case; windows are made and dropped within a task.
+The benchmark's seeds go to every task if there are at most ``broadcast_rows`` of them and their
+words (18 at most each) have at most ``broadcast_bytes`` (both counted first); texts are then read
+once and not shuffled, windows are made and dropped within a task. Beyond that, narrow rows of
+document, place and seed are joined with the benchmark's seeds, and only hits meet the words of
+their document. A seed that a third of all places share is spread over ``salts`` keys.
 
 Defined results: null and wordless texts are clean. Words of a window that lie outside the
 item or the document count as replaced; for items with fewer words than the window,
@@ -31,12 +33,14 @@ from pressmark.session import stage
 
 @dataclass(frozen=True)
 class Seeds:
-    """Masks of equal span (1: taken), words compared, hundredths that agree, most seeds to broadcast."""
+    """Masks of equal span (1: taken), words compared, hundredths that agree, most seeds and bytes to broadcast, keys a seed."""
 
     masks: tuple[str, ...] = ("11101011", "11001111")
     window: int = 13
     percent: int = 80
     broadcast_rows: int = 1_000_000
+    broadcast_bytes: int = 128 * 2**20
+    salts: int = 16
 
     @property
     def span(self) -> int:
@@ -81,6 +85,39 @@ def _agrees(settings: Seeds) -> Column:
     return F.exists(F.sequence(F.lit(1), F.lit(reach + 1)), enough)
 
 
+def _is_small(seeds: DataFrame, settings: Seeds) -> bool:
+    size = seeds.agg(F.count("*").alias("n"), F.sum(F.octet_length(F.array_join("item_words", " "))).alias("size")).first()
+    return size["n"] <= settings.broadcast_rows and (size["size"] or 0) <= settings.broadcast_bytes
+
+
+_HIT = ("doc_id", "item_id", "item_size", "item_at", "item_words", "own_at", "own_words")
+
+
+def _broadcast_hits(texts: DataFrame, seeds: DataFrame, settings: Seeds) -> DataFrame:
+    """Seeds of ``texts`` (doc_id, words) that the benchmark has, with the words around them on both sides."""
+    around, at = _around(settings)
+    # one generated loop up to the short stretch around a hit: neither positions nor the words of
+    # a document beside them are stored. Agreement is worked out in the aggregate that follows,
+    # which keeps the loop small enough to be compiled.
+    placed = _with_seeds(texts, "words", settings)
+    return placed.join(F.broadcast(seeds), "seed").select(*_HIT[:5], at.alias("own_at"), around.alias("own_words"))
+
+
+def _shuffled_hits(texts: DataFrame, seeds: DataFrame, settings: Seeds) -> DataFrame:
+    """As :func:`_broadcast_hits`, for any number of seeds. No join carries both places and whole texts."""
+    around, at = _around(settings)
+    texts = texts.withColumn("copy", F.xxhash64("words"))
+    salt = F.pmod(F.xxhash64("doc_id", "copy", "place"), F.lit(settings.salts)).cast("int").alias("salt")
+    every = F.explode(F.sequence(F.lit(0), F.lit(settings.salts - 1))).alias("salt")
+    places = _with_seeds(texts, "words", settings).select("doc_id", "copy", "place", "seed", salt)
+    # repeated rows of one document and text are one from here on
+    found = places.join(seeds.select("seed").distinct().select("seed", every), ["seed", "salt"], "left_semi").distinct()
+    whole = texts.dropDuplicates(["doc_id", "copy"]).withColumnsRenamed({"doc_id": "text_of", "copy": "text_copy"})
+    same = F.col("doc_id").eqNullSafe(F.col("text_of")) & (F.col("copy") == F.col("text_copy"))
+    own = found.join(whole, same).select("doc_id", "seed", "salt", at.alias("own_at"), around.alias("own_words"))
+    return own.join(seeds.select("*", every), ["seed", "salt"]).select(*_HIT)
+
+
 def leaks(documents: DataFrame, benchmark: DataFrame, settings: Seeds = Seeds()) -> DataFrame:
     """Rows (doc_id, item_id) for every document that holds a passage of an item."""
     around, at = _around(settings)
@@ -89,15 +126,8 @@ def leaks(documents: DataFrame, benchmark: DataFrame, settings: Seeds = Seeds())
         "seed", "item_id", F.size("words").alias("item_size"), at.alias("item_at"), around.alias("item_words")
     )
     seeds = stage(seeds, "seeds")
-    few = seeds.count() <= settings.broadcast_rows
     texts = documents.select("doc_id", words(F.col("text")).alias("words"))
-    # one generated loop up to the short stretch around a hit: neither positions nor the words of
-    # a document beside them are stored. Agreement is worked out in the aggregate that follows,
-    # which keeps the loop small enough to be compiled.
-    placed = _with_seeds(texts, "words", settings)
-    hits = placed.join(F.broadcast(seeds) if few else seeds, "seed").select(
-        "doc_id", "item_id", "item_size", "item_at", "item_words", at.alias("own_at"), around.alias("own_words")
-    )
+    hits = _broadcast_hits(texts, seeds, settings) if _is_small(seeds, settings) else _shuffled_hits(texts, seeds, settings)
     return hits.groupBy("doc_id", "item_id").agg(F.max(_agrees(settings)).alias("agrees")).where("agrees").drop("agrees")
 
 

@@ -72,25 +72,27 @@ def test_planted_passages(spark, rows_to_broadcast):
     assert 30 < sum(map(bool, wanted.values())) < 150
 
 
-def test_odd_rows(spark):
+@pytest.mark.parametrize("seeds", [Seeds(), Seeds(broadcast_rows=0), Seeds(broadcast_bytes=10)])
+def test_odd_rows(spark, seeds):
     passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
     given = [
         (1, None), (2, ""), (3, "  \n"), (4, passage), (5, "x " * 60_000 + passage + " y" * 60_000), (6, passage[:40]), (7, "clean"),
         (7, passage), (None, passage), (None, "clean"), (8, passage.replace("five", "5").replace("ten", "10")), (9, "one two three"),
+        *[(10, passage)] * 50, *[(11, "clean " * 30)] * 50,
     ]
     docs = spark.createDataFrame(given, "doc_id long, text string")
     for clash in ("item_id", "seed", "words", "place", "leaked_doc_id", "items"):
         docs = docs.withColumn(clash, F.lit("x"))
     items = [(70, passage), (70, passage), (71, passage), (72, None), (None, passage), (73, ""), (74, "one two three"), (75, "clean")]
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
-    found = judged(docs, bench).collect()
-    dirty = {4, 5, 7, 8, None}
+    found = judged(docs, bench, seeds).collect()
+    dirty = {4, 5, 7, 8, 10, None}
     assert len(found) == len(given) and all(r.contaminated == (r.doc_id in dirty) for r in found)
     assert {r.items for r in found if r.contaminated} == {"70,71"} and {r.n_items for r in found} == {0, 2}
-    kept = decontaminated(docs, bench)
+    kept = decontaminated(docs, bench, seeds)
     assert kept.columns == docs.columns
-    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 6, 9]
-    assert decontaminated(docs, bench.limit(0)).count() == len(given)
-    assert judged(docs.limit(0), bench).collect() == []
-    plan = decontamination.leaks(docs, bench)._jdf.queryExecution().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 3, 6, 9, *[11] * 50]
+    assert decontaminated(docs, bench.limit(0), seeds).count() == len(given)
+    assert judged(docs.limit(0), bench, seeds).collect() == []
+    plan = decontamination.leaks(docs, bench, seeds)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
