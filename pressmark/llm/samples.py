@@ -14,10 +14,13 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, columns: list[str],
     """At most ``rows`` labelled documents (text and label columns), chosen by a hash of the id.
 
     The choice depends on the ids alone. Labels of unknown documents and rows with a null in
-    ``columns`` are left out; a document with several label rows counts once for each.
+    ``columns`` are left out. Repeated label rows count once, different ones of a document each.
+    Of texts that share a ``doc_id`` the least one is learnt from, so however many rows one id
+    holds, no more than ``rows`` come out.
     """
     known = documents.select(F.col("doc_id").alias("doc_id")).where("doc_id is not null").distinct()
-    full = labels.select("doc_id", *columns).dropna()
+    full = labels.select("doc_id", *columns).dropna().distinct()
     chosen = full.join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", *columns).limit(rows)
     # no more than ``rows`` narrow rows, so this side can be sent to every task
-    return documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", *columns)
+    texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return texts.groupBy("doc_id", *columns).agg(F.min("text").alias("text")).select("text", *columns)

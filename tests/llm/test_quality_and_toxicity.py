@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pressmark.llm import quality, toxicity
 from pressmark.llm.quality import Neighbours, fit, trigram_counts, votes
+from pressmark.llm.samples import labelled_sample
 from pressmark.llm.toxicity import Chain, fit_chain, predict, text_words
 
 LARGE = "/root/testdata/sf0.1"
@@ -126,3 +127,16 @@ def test_odd_rows(spark, operator):
     assert operator.judged(documents.limit(0), labels).collect() == []
     untaught = operator.judged(documents, labels.limit(0)).collect()
     assert {r.score if operator is quality else r.p_toxic for r in untaught} <= {0.5, 0.0, toxicity._sigmoid(np.array(-50.0)).item()}
+
+
+def test_sample_is_bounded_when_one_id_holds_many_rows(spark):
+    documents = spark.range(900).selectExpr("if(id < 300, 7, id) doc_id", "concat('text ', 1000 + id) text", "'x' label")
+    labels = spark.range(900).selectExpr("if(id < 300, 7, id) doc_id", "cast(id % 2 as int) label").unionByName(
+        spark.createDataFrame([(1000, 1), (None, 1), (8, None)], "doc_id long, label int")
+    )
+    everything = labelled_sample(documents, labels, ["label"], 5000).collect()
+    # ids 300 to 899 have a label each, id 7 has two and 300 texts, of which the least stays
+    assert sorted((r.text, r.label) for r in everything) == sorted(
+        [("text 1000", 0), ("text 1000", 1), *((f"text {1000 + i}", i % 2) for i in range(300, 900))]
+    )
+    assert labelled_sample(documents, labels, ["label"], 50).count() == 50
