@@ -26,14 +26,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _byte_values() -> np.ndarray:
-    folded = np.arange(256, dtype=np.uint64)
-    folded[65:91] += np.uint64(32)
-    return mix(folded + np.uint64(1))
+def _byte_values(folded: bool) -> np.ndarray:
+    letters = np.arange(256, dtype=np.uint64)
+    if folded:
+        letters[65:91] += np.uint64(32)
+    return mix(letters + np.uint64(1))
 
 
-_VALUES = _byte_values()
-_SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
+_VALUES = _byte_values(folded=True)
+#: Values that tell A-Z from a-z.
+EXACT_VALUES = _byte_values(folded=False)
+SPACE = np.isin(np.arange(256), [32, 9, 10, 11, 12, 13])
 
 
 @lru_cache(maxsize=1)
@@ -65,13 +68,43 @@ def row_chunks(column: pa.Array, size: int = _CHUNK) -> Iterator[tuple[int, np.n
         first = stop
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE, values: np.ndarray = _VALUES
+) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of a run of rows, in order, and the number of words before each row.
 
-    ``space`` marks the bytes that separate words.
+    ``space`` marks the bytes that separate words; ``values`` has a number for every byte. A long run is
+    worked through in parts that end between words, so the memory it takes beside its words is bounded.
     """
     if not len(data):
         return np.zeros(0, dtype=np.uint64), np.zeros(len(offsets), dtype=np.int64)
+    if len(data) > 2 * _CHUNK:
+        found, begins = [], []
+        for start, stop in _parts(data, space):
+            own = np.unique(np.clip(offsets, start, stop)) - start
+            hashes, first = _part_hashes(data[start:stop], np.union1d(own, [0, stop - start]), space, values)
+            found.append(hashes)
+            begins.append(first + start)
+        return np.concatenate(found), np.searchsorted(np.concatenate(begins), offsets)
+    hashes, begins = _part_hashes(data, offsets, space, values)
+    return hashes, np.searchsorted(begins, offsets)
+
+
+def _parts(data: np.ndarray, space: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Stretches of ``_CHUNK`` bytes, each lengthened to the end of its last word."""
+    start = 0
+    while start < len(data):
+        stop = min(start + _CHUNK, len(data))
+        while stop < len(data) and not (after := space[data[stop : stop + _CHUNK]]).any():
+            stop = min(stop + _CHUNK, len(data))
+        if stop < len(data):
+            stop += int(after.argmax())
+        yield start, stop
+        start = stop
+
+
+def _part_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and where they begin; ``offsets`` end words as spaces do."""
     inside = ~space[data]
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offsets] = True
@@ -79,9 +112,9 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPAC
     ends = np.flatnonzero(inside & (cut[1:] | ~np.concatenate((inside[1:], [False])))) + 1
     powers, inverse = _powers(max(20, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * powers[: len(data)], out=sums[1:])
+    np.cumsum(values[data] * powers[: len(data)], out=sums[1:])
     hashes = (sums[ends] - sums[begins]) * inverse[begins]
-    return mix(hashes + (ends - begins).astype(np.uint64) * _STEP), np.searchsorted(begins, offsets)
+    return mix(hashes + (ends - begins).astype(np.uint64) * _STEP), begins
 
 
 def shingle_hashes(words: np.ndarray, starts: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:

@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from pressmark.llm import ranking
+from pressmark.llm.ranking import Search, ranked
+
+SF = "/root/testdata/sf0.01"
+
+
+def terms(text):
+    lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", lower)
+
+
+def plain(documents, items, k=10):
+    """The definition: every document scored for every item."""
+    held = [(i, Counter(terms(t)), len(terms(t))) for i, t in documents]
+    held = [h for h in held if h[2]]
+    n, total = len(held), sum(h[2] for h in held)
+    df = Counter(t for _, own, _ in held for t in own)
+    weight = {t: math.floor(1000 * math.log((2 * n + 2) / (2 * d + 1))) for t, d in df.items()}
+    texts = {}
+    for i, t in items:
+        if i not in texts or (t is not None and (texts[i] is None or t < texts[i])):
+            texts[i] = t
+    out = []
+    for item, text in texts.items():
+        found = []
+        for doc, own, size in held:
+            m = 100 - 75 + (75 * size * n) // total
+            score = sum(weight[t] * ((10**9 * own[t]) // (1000 * own[t] + 8 * m)) for t in terms(text) if t in own)
+            if score > 0:
+                found.append((-score, doc is not None, doc or 0, doc))
+        out += [(item, rank, f[3], -f[0]) for rank, f in enumerate(sorted(found)[:k], 1)]
+    return out
+
+
+def tables(spark, documents, items):
+    made = (
+        spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+    )
+    return [t.withColumns({c: F.lit("x") for c in ("n", "score", "rank", "item", "terms", "length")}) for t in made]
+
+
+def found(frame):
+    return sorted((tuple(r) for r in frame.select("item_id", "rank", "doc_id", "score").collect()), key=str)
+
+
+def random_tables(seed, documents=400, items=25):
+    pick = random.Random(seed)
+    words = [f"w{i}" for i in range(60)] + ["Ünï", "日本", "A1", "z"]
+    weights = [1 / (i + 1) for i in range(len(words))]
+    docs = [(i, " ".join(pick.choices(words, weights, k=pick.choice([1, 3, 30, 200])))) for i in range(documents)]
+    docs += [(documents + i, docs[7][1]) for i in range(40)]
+    return docs, [(i, " ".join(pick.choices(words, k=pick.choice([1, 4, 20])))) for i in range(items)]
+
+
+@pytest.mark.parametrize("search", [Search(first=20, bucket=16, focus=2), Search(first=1, bucket=1, focus=1), Search(first=50, bucket=64, focus=100, block_bytes=100)])
+def test_equal_to_the_definition(spark, search):
+    documents, items = random_tables(search.bucket)
+    assert found(ranked(*tables(spark, documents, items), search)) == sorted(plain(documents, items), key=str)
+
+
+def test_odd_rows(spark):
+    documents = [
+        (1, None), (2, ""), (3, "--- !!"), (None, "alpha beta"), (5, "Alpha,BETA"), (5, "alpha beta"), (6, "ALPHA"), (7, "gamma " * 50),
+        (8, "İ alpha"), (9, "x" * 5000 + " beta"), (-4, "alpha beta"), (None, "alpha beta"),
+    ]
+    items = [(1, "alpha alpha BETA"), (2, None), (3, "!!"), (4, "unknown"), (5, "zz"), (5, "gamma"), (None, "beta"), (6, "alpha"), (6, "alpha")]
+    wanted = sorted(plain(documents, items), key=str)
+    assert found(ranked(*tables(spark, documents, items))) == wanted
+    assert {r[0] for r in wanted} == {1, 5, 6, None}
+    docs, benchmark = tables(spark, documents, items)
+    assert found(ranked(docs.limit(0), benchmark)) == [] == found(ranked(docs, benchmark.limit(0)))
+    assert found(ranked(docs.where("doc_id < 3"), benchmark.where("item_id = 1"))) == found(
+        ranked(*tables(spark, [(-4, "alpha beta")], [(1, "alpha alpha BETA")])))
+
+
+def test_terms_of_long_texts_are_not_cut(monkeypatch):
+    text = ("ab" * 40 + " Ünï-x1 \x00 " + "日本" * 30 + ",") * 50
+    whole = ranking.term_counts(text.encode())
+    assert whole == Counter(t.encode() for t in terms(text))
+    monkeypatch.setattr(ranking, "STRETCH", 7)
+    assert ranking.term_counts(text.encode()) == whole
+
+
+def test_bounds_leave_most_pairs_out(spark):
+    """The exact score is worked out for less than a quarter of the pairs of vector and item, even on a small table."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = ranking.read_items([tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()])
+    vectors, scored = [], 0
+    total = [ranking.term_counts((d.text or "").encode()) for d in documents]
+    df = Counter(t for own in total for t in own)
+    n = len([own for own in total if own])
+    weights = ranking.np.array([math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) for t in items.terms])
+    corpus = ranking.Corpus(n, sum(own.total() for own in total), weights)
+    for doc, own in zip(documents, total):
+        held = sorted((items.terms[t], c) for t, c in own.items() if t in items.terms)
+        m = int(corpus.damping(ranking.np.array([own.total()]))[0])
+        length = math.sqrt(sum(int(weights[t]) * (10**9 * c // (1000 * c + 8 * m)) ** 2 for t, c in held))
+        if length:
+            vectors.append((-length, doc.doc_id, m, held))
+    vectors.sort()
+    np = ranking.np
+    lists = [h for v in vectors for h in v[3]]
+    at = np.concatenate(([0], np.cumsum([len(v[3]) for v in vectors])))
+    buckets = ranking.Buckets(items, corpus, Search(bucket=32))
+    exact = buckets._exact
+
+    def counted(item, rows, key, impact):
+        nonlocal scored
+        scored += len(rows)
+        return exact(item, rows, key, impact)
+
+    buckets._exact = counted
+    best = ranking._Best(np.zeros(len(items.ids), dtype=np.int64), 10)
+    buckets.scan(
+        -np.array([v[0] for v in vectors]), np.array([v[1] for v in vectors]), np.array([v[2] for v in vectors]),
+        np.array([t for t, _ in lists]), np.array([c for _, c in lists]), at, best,
+    )
+    assert scored < 0.25 * len(vectors) * len(items.ids)
+    rows = [(items.ids[r["item"]], r["doc_id"], r["score"]) for r in best.rows().to_pylist()]
+    wanted = plain([(d.doc_id, d.text) for d in documents], [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()])
+    assert sorted(rows) == sorted((i, d, s) for i, _, d, s in wanted)
+
+
+def test_sql(spark):
+    base = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        base.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    wanted = base.execute(f"SELECT item_id, rank, doc_id, score FROM ({ranking.ORACLE})").fetchall()
+    tables = [spark.read.parquet(f"{SF}/{name}.parquet") for name in ("documents", "benchmark")]
+    assert found(ranked(*tables, Search(first=100))) == sorted(wanted, key=str)
