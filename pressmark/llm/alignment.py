@@ -42,10 +42,12 @@ from pressmark.llm.bpe import byte_characters
 from pressmark.session import stage
 
 STRETCH = 1 << 20
-BLOCK = 4 << 20
-LANE = 1024
-_KEPT_WORDS = 400_000
-_KEPT_TOKENS = 4_000_000
+BLOCK = 1 << 20
+LANE = 512
+_KEPT_WORDS = 200_000
+_KEPT_TOKENS = 2_000_000
+# words handed to the libraries at once, as their results are large
+_ENCODED = 2000
 # links of a larger group are counted by distinct ids instead of being written out
 _SMALL_GROUP = 4096
 # pairs in more texts than a millionth of all links are sent to every executor: fewer than a million
@@ -110,9 +112,11 @@ class Encoders:
 
     def learn(self, words: set[str]) -> None:
         """Encode the words not known yet."""
-        new = [w for w in words if w not in self.words]
-        if not new:
-            return
+        unknown = [w for w in words if w not in self.words]
+        for begin in range(0, len(unknown), _ENCODED):
+            self._encode(unknown[begin : begin + _ENCODED])
+
+    def _encode(self, new: list[str]) -> None:
         a = [e.ids for e in self.a.encode_batch([" " + w for w in new], add_special_tokens=False)]
         b = self.b.encode(new, num_threads=1)
         exact = []
@@ -342,7 +346,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], files: Tokenizers) -> Iterator[p
                     row, number = _Row(), number + 1
                 own = slice(bounds[i], bounds[i + 1])
                 row.add(bool(spelt[i]), counts[i], written, pairs[own], times[own])
-            if len(done) >= 2000:
+            if len(done) >= 500:
                 yield _batch(ids.slice(number - len(done), len(done)), done)
                 done = []
         while number < len(ids):
