@@ -467,6 +467,39 @@ WITH {_COUNTS}, raw AS (
   FROM counts c JOIN frequencies USING (term))
 SELECT doc_id, term, tf, df, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw"""
 
+_SCORES = r"""
+WITH words AS (SELECT doc_id, doc_id IN (SELECT doc_id FROM labels) AS known,
+  regexp_extract_all(lower(text), '[\p{L}\p{N}_]{2,}') AS w FROM documents),
+grams AS (SELECT doc_id, known, w || list_transform(w[1:-2], lambda x, i: x || ' ' || w[i + 1]) AS g FROM words),
+counts AS (SELECT doc_id, known, term, count(*) AS tf FROM (SELECT doc_id, known, unnest(g) AS term FROM grams) GROUP BY ALL),
+frequent AS (SELECT term, count(*) AS df FROM counts WHERE known GROUP BY term HAVING count(*) >= 3),
+terms AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS term_id,
+  ln((1.0 + (SELECT count(*) FROM words WHERE known)) / (1.0 + df)) + 1 AS scale FROM frequent),
+vals AS (SELECT doc_id, term_id, tf * scale / sqrt(sum(tf * scale * tf * scale) OVER (PARTITION BY doc_id)) AS v
+  FROM counts JOIN terms USING (term) WHERE NOT known),
+names AS (SELECT unnest([lang, source, CASE WHEN quality = 1 THEN 'quality' END, CASE WHEN toxic = 1 THEN 'toxic' END]) AS category
+  FROM documents JOIN labels USING (doc_id)),
+lab AS (SELECT category, row_number() OVER (ORDER BY category) - 1 AS label_id FROM (SELECT DISTINCT category FROM names WHERE category IS NOT NULL)),
+part AS (SELECT doc_id, label_id, sum(v * ((term_id * 37 + label_id * 101) % 201 - 100) / 100.0) AS part
+  FROM vals JOIN lab ON (term_id + label_id) % 5 = 0 GROUP BY ALL)
+SELECT doc_id, category, round(coalesce(part, 0) + (label_id % 5 - 2) / 10.0, 6) AS score
+FROM (SELECT doc_id FROM words WHERE NOT known) CROSS JOIN lab LEFT JOIN part USING (doc_id, label_id)"""
+ORACLE["score_with_model"] = ORACLE["score_by_tables"] = _SCORES
+_PLANTED = """
+SELECT doc_id, array_to_string(list_filter([CASE WHEN doc_id % 2 = 0 THEN 'even' END,
+  CASE WHEN doc_id % 2 <> 0 AND doc_id % 3 <> 0 THEN 'other' END, CASE WHEN doc_id % 3 = 0 THEN 'third' END], lambda x: x IS NOT NULL), '|') AS categories
+FROM documents"""
+ORACLE["classify_planted"] = f"{_PLANTED} WHERE doc_id NOT IN (SELECT doc_id FROM labels)"
+ORACLE["kfold_planted"] = """
+WITH placed AS (SELECT doc_id, row_number() OVER (ORDER BY (doc_id * 48271 + 42) % 2147483647, doc_id) - 1 AS position,
+  (SELECT count(*) // 3 FROM documents) AS size FROM documents),
+folded AS (SELECT doc_id, CAST(position // size AS INTEGER) AS fold FROM placed WHERE position // size < 3),
+marks AS (SELECT fold, unnest([{'label': 'even', 'own': doc_id % 2 = 0}, {'label': 'third', 'own': doc_id % 3 = 0},
+  {'label': 'other', 'own': doc_id % 2 <> 0 AND doc_id % 3 <> 0}]) AS m FROM folded)
+SELECT fold, m.label AS label, count(*) FILTER (WHERE m.own) AS tp, CAST(0 AS BIGINT) AS fp, CAST(0 AS BIGINT) AS fn,
+  count(*) FILTER (WHERE NOT m.own) AS tn, 1.0::DOUBLE AS precision, 1.0::DOUBLE AS recall, 1.0::DOUBLE AS f1
+FROM marks GROUP BY fold, m.label"""
+
 ORACLE["url_slug"] = f"SELECT url, nullif(regexp_extract(url, {q(_SLUG)}, 1), '') AS slug FROM pages"
 ORACLE["url_ending"] = f"SELECT url, nullif(regexp_extract(url, {q(_ENDING)}, 1), '') AS ending FROM pages"
 ORACLE["nicename"] = """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,7 +13,7 @@ from pressmark.functions.html import Selector
 from pressmark.operators import articles as A, authors, classify, folds, labels, metrics, tfidf
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT
 from pressmark.plans.import_job import ImportJob
-from pressmark.operators.classify import Settings
+from pressmark.session import shared_dir
 from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus, pages as P
 
@@ -22,8 +23,6 @@ QUERIES: dict[str, Query] = {}
 ORDER_MONTHS = archive.month_range("06/1996", "03/1999")
 PAGE_MONTHS = archive.month_range("02/1995", "06/1995")
 SHARD_LIMIT = 40_000
-# a smaller space of hashed terms than the default, as 25 labels are fitted several times here
-HASHED = Settings(max_terms=2**16)
 
 
 def query(function: Query) -> Query:
@@ -383,14 +382,54 @@ def tfidf_weights(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def classify_documents(spark: SparkSession, folder: str) -> DataFrame:
-    model = classify.fit(T.labelled_documents(spark, folder), "text", HASHED)
+    model = classify.fit(T.labelled_documents(spark, folder), "text")
     predicted = model.predict(T.unlabelled_documents(spark, folder), "text", ["doc_id"])
     return predicted.withColumn("categories", joined(F.col("categories")))
 
 
+def _saved_model(spark: SparkSession, folder: str) -> str:
+    path = f"{shared_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    classify.save_tables(*T.given_model(spark, folder), path)
+    return path
+
+
+@query
+def score_with_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved model is loaded into memory and sent to the tasks."""
+    model = classify.load(spark, _saved_model(spark, folder))
+    rows = classify.with_terms(T.unlabelled_documents(spark, folder), "text")
+    scores = F.posexplode("scores").alias("label_id", "score")
+    names = F.array(*[F.lit(category) for _, category, _ in model.index])
+    return model.scores(rows, ["doc_id"]).select("doc_id", scores).select(
+        "doc_id", F.get(names, F.col("label_id")).alias("category"), F.round("score", 6).alias("score"))
+
+
+@query
+def score_by_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by joins with the saved tables."""
+    scored = classify.score_by_tables(T.unlabelled_documents(spark, folder), _saved_model(spark, folder))
+    return scored.withColumn("score", F.round("score", 6))
+
+
+@query
+def classify_planted(spark: SparkSession, folder: str) -> DataFrame:
+    """Learnt from the labelled documents, saved, loaded and applied to all others."""
+    documents = T.planted_documents(spark, folder)
+    marked = T.table(spark, folder, "labels").select("doc_id").distinct()
+    path = f"{shared_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    classify.load_or_fit(documents.join(marked, "doc_id", "left_semi"), path, "text")
+    predicted = classify.load(spark, path).predict(documents.join(marked, "doc_id", "left_anti"), "text", ["doc_id"])
+    return predicted.withColumn("categories", joined(F.col("categories")))
+
+
+@query
+def kfold_planted(spark: SparkSession, folder: str) -> DataFrame:
+    return _rounded(classify.cross_validate(T.planted_documents(spark, folder), 3, seed=42))
+
+
 @query
 def kfold_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, settings=HASHED, seed=42))
+    return _rounded(classify.cross_validate(T.labelled_documents(spark, folder), 3, seed=42))
 
 
 @query

@@ -9,7 +9,9 @@ from pressmark.functions import html as H
 from pressmark.functions.html import Selector
 from pressmark.functions.urls import percent_spaces, resolve
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT, accepted, extract, last_of_each
-from pressmark.operators.order import assign_ids
+from pressmark.operators import tfidf
+from pressmark.operators.labels import label_vocabulary
+from pressmark.operators.order import assign_ids, with_position
 from pressmark.session import spread, stage
 
 SITE = "http://news.example.org"
@@ -68,6 +70,37 @@ def labelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return documents.join(labels, "doc_id").select("doc_id", "text", categories.alias("categories"))
 
 
+def planted_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The given documents with categories by number, and with words for each category that make up much of the text.
+
+    Any right classifier learns these categories without a fault.
+    """
+    number = F.col("doc_id")
+    even, third = number % 2 == 0, number % 3 == 0
+    categories = F.array_compact(F.array(
+        F.when(even, F.lit("even")), F.when(third, F.lit("third")), F.when(~even & ~third, F.lit("other"))))
+    words = F.concat(F.array_join(F.transform(categories, lambda c: F.concat(F.lit("planted"), c)), " "), F.lit(" "))
+    times = (F.length("text") / 5 + 10).cast("int")
+    text = F.concat(F.col("text"), F.lit(" "), F.repeat(words, times))
+    return spread(table(spark, folder, "documents")).select("doc_id", text.alias("text"), categories.alias("categories"))
+
+
+def given_model(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables of a model with weights by rule: terms in three labelled documents or more, all labels."""
+    documents = labelled_documents(spark, folder)
+    n = documents.count()
+    frequent = tfidf.document_frequencies(tfidf.term_counts(documents)).where("df >= 3")
+    terms = stage(with_position(frequent, "term"), "terms").select(
+        F.col("position").cast("int").alias("term_id"), "term", (F.log(F.lit(1.0 + n) / (F.col("df") + 1.0)) + 1.0).alias("scale"))
+    index = label_vocabulary(documents).select(
+        F.col("label_id").cast("int").alias("label_id"), "category", F.lit("svm").alias("predictor"),
+        ((F.col("label_id") % 5 - 2) / 10.0).alias("intercept"), F.lit("vocabulary").alias("features"), F.lit(0).alias("max_terms"))
+    ids = F.array(*[F.lit(r["label_id"]) for r in index.select("label_id").collect()])
+    weights = terms.select("term_id", F.explode(ids).alias("label_id")).where((F.col("term_id") + F.col("label_id")) % 5 == 0)
+    weight = ((F.col("term_id").cast("long") * 37 + F.col("label_id") * 101) % 201 - 100) / 100.0
+    return terms, weights.select("label_id", "term_id", weight.alias("weight")), index
+
+
 def unlabelled_documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents")).join(table(spark, folder, "labels"), "doc_id", "left_anti")
 

@@ -2,13 +2,15 @@ from __future__ import annotations
 
 from pathlib import Path
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from checks.tables import labelled_documents
 from pressmark import constants as K
-from pressmark.operators import classify
+from pressmark.operators import classify, linear
+from pressmark.operators.folds import assign_folds
 from pressmark.operators.articles import NEWS_LAYOUT
 from pressmark.operators.classify import Settings
 from pressmark.plans import classify_job
@@ -17,7 +19,7 @@ from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus
 from pressmark.streaming.pages import write_rows
 
-SMALL = Settings(max_terms=2**10, parallelism=4)
+SMALL = Settings(max_terms=2**10)
 
 
 def frame(spark, contents):
@@ -92,7 +94,7 @@ def learnable(spark):
 
 @pytest.mark.parametrize("terms", [2**10, 16])
 def test_fit_save_load_predict(spark, learnable, tmp_path, terms):
-    settings = Settings(max_terms=terms, parallelism=4)
+    settings = Settings(max_terms=terms)
     path = str(tmp_path / "model")
     model = classify.load_or_fit(learnable, path, "text", settings)
     assert [kind for _, _, kind in model.index] == ["always", "svm", "svm", "svm"]
@@ -104,6 +106,82 @@ def test_fit_save_load_predict(spark, learnable, tmp_path, terms):
         assert all(sorted(first[r["doc_id"]]) == sorted(r["categories"]) for r in learnable.collect())
 
 
+def _solved(x, y, penalty):
+    """The least value of the objective, by Newton steps over dense rows with a constant column."""
+    w = np.zeros(x.shape[1])
+    for _ in range(100):
+        slack = np.maximum(0, 1 - y * (x @ w))
+        on = slack > 0
+        slope = w - 2 * penalty * x[on].T @ (y * slack)[on]
+        w = w - np.linalg.solve(np.eye(len(w)) + 2 * penalty * x[on].T @ x[on], slope)
+    slack = np.maximum(0, 1 - y * (x @ w))
+    return w, 0.5 * w @ w + penalty * slack @ slack
+
+
+@pytest.mark.parametrize("fold", [-1, 1])
+def test_problems_are_solved_together(spark, fold):
+    pick = np.random.default_rng(4)
+    rows = []
+    for i in range(150):
+        terms = sorted(pick.choice(30, size=pick.integers(0, 9), replace=False).tolist())
+        labels = [label for label in range(4) if pick.random() < 0.1 + 0.6 * (label in terms)]
+        rows.append((int(pick.integers(0, 3)), labels, terms, pick.integers(1, 4, len(terms)).tolist()))
+    table = spark.createDataFrame(rows, "fold int, labels array<int>, terms array<int>, tf array<int>").repartition(5)
+    scale = pick.random(30) + 0.5
+    problems = linear.Problems(np.arange(4), np.full(4, fold), np.array([fold]), scale[None, :])
+    found = linear.fit_together(table, problems, 4, 1.0, 1e-6, 300)
+    kept = [r for r in rows if r[0] != fold]
+    x = np.zeros((len(kept), 31))
+    for own, row in zip(x, kept):
+        own[row[2]] = np.array(row[3]) * scale[row[2]]
+        own[:] /= max(np.linalg.norm(own), 1e-12)
+        own[30] = 1
+    for label in range(4):
+        y = np.array([1.0 if label in r[1] else -1.0 for r in kept])
+        w, value = _solved(x, y, 1.0)
+        slack = np.maximum(0, 1 - y * (x @ found.weights[label]))
+        assert 0.5 * found.weights[label] @ found.weights[label] + slack @ slack <= value * (1 + 1e-6)
+        assert np.abs(found.weights[label] - w).max() < 1e-3
+    assert (found.slopes <= 1e-6).all()
+    with pytest.raises(linear.NotConverged, match="4 of 4"):
+        linear.fit_together(table, problems, 4, 1.0, 1e-6, 2)
+
+
+def test_folds_together_equal_folds_apart(spark, learnable):
+    settings = Settings(max_terms=2**10, tolerance=1e-5)
+    folds = assign_folds(learnable, 3, seed=5)
+    rows = learnable.join(folds.drop("position"), "doc_id").cache()
+    together = {(r["fold"], r["label"]): (r["tp"], r["fp"], r["fn"]) for r in classify.cross_validate(learnable, 3, settings=settings, seed=5).collect()}
+    for fold in range(3):
+        model = classify.fit(rows.where(F.col("fold") != fold), "text", settings)
+        said = {r["doc_id"]: set(r["categories"]) for r in model.predict(rows.where(F.col("fold") == fold), "text", ["doc_id"]).collect()}
+        truth = {r["doc_id"]: set(r["categories"]) for r in rows.where(F.col("fold") == fold).collect()}
+        for label in ("all", "big", "cats", "dogs"):
+            assert together[fold, label] == tuple(
+                sum(label in said[d] and label in truth[d] if k == 0 else label in said[d] and label not in truth[d] if k == 1
+                    else label not in said[d] and label in truth[d] for d in truth) for k in range(3))
+
+
+@pytest.mark.parametrize("features", ["hashed", "vocabulary"])
+def test_tables_score_as_the_model_in_memory(spark, learnable, tmp_path, features):
+    model = classify.fit(learnable, "text", Settings(features=features, max_terms=2**10))
+    path = str(tmp_path / "model")
+    model.save(spark, path)
+    odd = spark.createDataFrame([(1000, "unknown words only"), (1001, None), (1002, "")], "doc_id long, text string")
+    documents = learnable.select("doc_id", "text").unionByName(odd)
+    again = classify.load(spark, path)
+    kept = [m.scores(classify.with_terms(documents, "text"), ["doc_id"]).collect() for m in (model, again)]
+    first, second = ({r["doc_id"]: r["scores"] for r in rows} for rows in kept)
+    names = [category for _, category, _ in model.index]
+    by_table = {(r["doc_id"], r["category"]): r["score"] for r in classify.score_by_tables(documents, path).collect()}
+    assert len(by_table) == len(names) * documents.count()
+    for doc, scores in first.items():
+        assert np.allclose(scores, second[doc], atol=1e-12)
+        assert np.allclose(scores, [by_table[doc, name] for name in names], atol=1e-9)
+    with pytest.raises(ValueError, match="score_by_tables"):
+        classify.load(spark, path, Settings(broadcast_bytes=10)).scores(documents, ["doc_id"])
+
+
 def test_features_are_chosen_by_the_caller(spark, learnable):
     exact = Settings(features="vocabulary", max_terms=2**10)
     model = classify.fit(learnable, "text", exact)
