@@ -180,8 +180,8 @@ def losses_and_slopes(
 
 
 @dataclass
-class _State:
-    """One problem on its way down: place, value, slope, direction, step, and its last steps."""
+class Descent:
+    """One problem on its way down by limited-memory quasi-Newton steps: place, value, slope, direction, step, and its last steps."""
 
     w: np.ndarray
     damping: np.ndarray
@@ -242,7 +242,7 @@ def fit_together(
     width = problems.scales.shape[1] + 1
     if not len(problems.label):
         return Fit(np.zeros((0, width), np.float32), 0, np.zeros(0))
-    states = [_State(np.zeros(width, dtype=np.float32), np.ones(width, dtype=np.float32)) for _ in problems.label]
+    states = [Descent(np.zeros(width, dtype=np.float32), np.ones(width, dtype=np.float32)) for _ in problems.label]
     open_ones, done = np.arange(len(states)), 0
     place_of = {fold: k for k, fold in enumerate(problems.folds.tolist())}
     while len(open_ones):
