@@ -4,13 +4,15 @@ Categories are predicted one after another. Each is a logistic regression on the
 the whole text (runs of letters, lower-cased, present or not, hashed) and on the
 probabilities of all earlier categories. In training those come from out-of-fold
 predictions: a text's probability is that of a model that has not seen it or an equal text.
-The words of a model are those of its training rows that differ most between the classes.
+The last category is the verdict, so every earlier model has a say in it. A model
+has a weight for every hashed word of its training rows.
 
 Models are fitted on the driver from a bounded sample of labelled rows (``Chain.sample``),
 whose texts become hashed words in the tasks. Scoring is one narrow pass.
 
 Defined results: null and wordless texts are scored by the intercepts and earlier
-probabilities alone. A category without both classes has its share in the sample as constant
+probabilities alone. A text at the threshold is rejected. Repeated rows stay and an empty table
+gives no rows. A category without both classes has its share in the sample as constant
 probability; without labelled rows all probabilities are 0. Equal texts have equal
 probabilities. Only ``doc_id`` and ``text`` are read.
 """
@@ -27,21 +29,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmark.llm.samples import labelled_sample
 from pressmark.llm.words import row_chunks, word_hashes
+from pressmark.operators.linear import Descent
 
 # bytes of letters: ASCII letters and all bytes of longer characters
 _BETWEEN = ~np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
 
 
+# rows at which a word's correlation with a category counts a quarter
+RARE = 4
+
+
 @dataclass(frozen=True)
 class Chain:
-    """Most labelled rows to learn from, bits of a word hash, words of a model, folds, ridge, rounds, cut."""
+    """Most labelled rows to learn from, bits of a word hash, folds, ridge, most rounds, gradient left, cut.
+
+    The ridge on a word is ``ridge`` over its squared correlation with the category to the power ``trust``;
+    that on the probability of an earlier category is ``earlier``.
+    """
 
     sample: int = 16000
     bits: int = 20
-    words: int = 1024
     folds: int = 3
-    ridge: float = 1e-5
-    rounds: int = 200
+    ridge: float = 3e-8
+    trust: float = 1.5
+    earlier: float = 1e-4
+    rounds: int = 150
+    tolerance: float = 1e-4
     threshold: float = 0.5
 
 
@@ -79,42 +92,32 @@ def _fit_one(row: np.ndarray, word: np.ndarray, earlier: np.ndarray, wanted: np.
     share, n = float(wanted.mean()) if len(wanted) else 0.0, len(wanted)
     if share in (0.0, 1.0):
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), 50.0 * (2 * share - 1))
-    held = np.bincount(word, minlength=1 << chain.bits)
-    both = np.bincount(word[wanted[row] > 0], minlength=1 << chain.bits)
-    seen = np.flatnonzero(held)
-    held, both = held[seen].astype(float), both[seen]
-    spread = held * (n - held) * share * (1 - share)
-    gain = (both - held * share) ** 2 / np.maximum(spread, 1e-9)  # chi squared over the number of rows
-    best = seen[np.lexsort((seen, -gain))[: chain.words]]
-    best.sort()
-    table = np.zeros((n, len(best) + earlier.shape[1] + 1), dtype=np.float32)
-    column = np.full(1 << chain.bits, -1, dtype=np.int32)
-    column[best] = np.arange(len(best))
-    inside = column[word] >= 0
-    table[row[inside], column[word[inside]]] = 1
-    table[:, len(best) : -1] = earlier
-    table[:, -1] = 1
-    weights = _logistic(table, wanted.astype(np.float32), chain)
-    return Linear(best, weights[: len(best)], weights[len(best) : -1], float(weights[-1]))
-
-
-def _logistic(table: np.ndarray, wanted: np.ndarray, chain: Chain) -> np.ndarray:
-    """Ridge logistic regression by accelerated gradient steps; the intercept is not shrunk."""
-    ridge = np.full(table.shape[1], chain.ridge)
-    ridge[-1] = 0
-    top = np.ones(table.shape[1], dtype=np.float32)
-    for _ in range(20):
-        top = table.T @ (table @ top)
-        norm = float(np.linalg.norm(top))
-        top /= norm
-    step = 1 / (0.3 * norm / len(table) + chain.ridge)
-    weights = ahead = np.zeros(table.shape[1])
-    for i in range(chain.rounds):
-        slope = table.T @ (_sigmoid(table @ ahead.astype(np.float32)) - wanted).astype(np.float32) / len(table) + ridge * ahead
-        found = ahead - step * slope
-        ahead = found + i / (i + 3) * (found - weights)
-        weights = found
-    return weights
+    seen, place = np.unique(word, return_inverse=True)
+    held = np.bincount(place, minlength=len(seen)).astype(float)
+    both = np.bincount(place, weights=wanted[row], minlength=len(seen))
+    # squared correlation of each word with the category, less for rare words: what tells little is held back more
+    gain = (both - held * share) ** 2 / np.maximum(held * (n - held) * share * (1 - share), 1e-9) * (held / (held + RARE)) ** 2
+    weights = _logistic(row, place, gain, earlier, wanted, chain)
+    return Linear(seen, weights[: len(seen)], weights[len(seen) : -1], float(weights[-1]))
+
+
+def _logistic(row: np.ndarray, place: np.ndarray, gain: np.ndarray, earlier: np.ndarray, wanted: np.ndarray, chain: Chain) -> np.ndarray:
+    """Ridge logistic regression on sparse words and dense earlier probabilities; the intercept is not shrunk."""
+    n, words = len(wanted), len(gain)
+    ridge = np.concatenate((np.full(words, chain.ridge), np.full(earlier.shape[1], chain.earlier), [0.0]))
+    ridge[:words] /= np.maximum(gain, 1e-4) ** chain.trust
+    squares = np.concatenate((np.bincount(place, minlength=words), (earlier**2).sum(axis=0), [n])) / n
+    descent = Descent(np.zeros(len(ridge), dtype=np.float32), (0.25 * squares + ridge + 1e-8).astype(np.float32))
+    for _ in range(chain.rounds):
+        at = descent.trial().astype(np.float64)
+        logit = np.bincount(row, weights=at[place], minlength=n) + earlier @ at[words:-1] + at[-1]
+        off = (_sigmoid(logit) - wanted) / n
+        slope = np.concatenate((np.bincount(place, weights=off[row], minlength=words), off @ earlier, [off.sum()])) + ridge * at
+        loss = float(np.mean(np.logaddexp(0, logit) - wanted * logit)) + 0.5 * float(ridge @ at**2)
+        descent.take(loss, slope, 8)
+        if descent.ratio() <= chain.tolerance:
+            break
+    return descent.w.astype(np.float64)
 
 
 def fit_chain(rows: list[np.ndarray], wanted: np.ndarray, chain: Chain = Chain()) -> list[Linear]:
@@ -179,8 +182,8 @@ def probabilities(text: Column, models: Broadcast, bits: int = Chain.bits) -> Co
     return of(text)
 
 
-# Categories of the given labels: toxic at all, and within that in prose or in noise.
-CATEGORIES = ["toxic", "toxic_prose", "toxic_noise"]
+# Categories of the given labels: toxic in prose, in noise, and, told by both, toxic at all.
+CATEGORIES = ["toxic_prose", "toxic_noise", "toxic"]
 
 
 def categorised(labels: DataFrame) -> DataFrame:
@@ -189,14 +192,14 @@ def categorised(labels: DataFrame) -> DataFrame:
 
 
 def judged(documents: DataFrame, labels: DataFrame, chain: Chain = Chain()) -> DataFrame:
-    """One row per document: doc_id, a probability for each category, rejected (toxic at the threshold)."""
+    """One row per document: doc_id, a probability for each category, rejected (the last one, toxic, at the threshold)."""
     models = documents.sparkSession.sparkContext.broadcast(train(documents, categorised(labels), CATEGORIES, chain))
     rows = documents.select(F.col("doc_id").alias("doc_id"), probabilities(F.col("text"), models, chain.bits).alias("p"))
     named = [F.col("p")[i].alias(f"p_{c}") for i, c in enumerate(CATEGORIES)]
-    return rows.select("doc_id", *named, (F.col("p")[0] >= chain.threshold).alias("rejected"))
+    return rows.select("doc_id", *named, (F.col("p")[len(CATEGORIES) - 1] >= chain.threshold).alias("rejected"))
 
 
 def without_toxic(documents: DataFrame, labels: DataFrame, chain: Chain = Chain()) -> DataFrame:
     """The rows of ``documents`` below the threshold, with all their columns."""
     models = documents.sparkSession.sparkContext.broadcast(train(documents, categorised(labels), CATEGORIES, chain))
-    return documents.where(probabilities(F.col("text"), models, chain.bits)[0] < chain.threshold)
+    return documents.where(probabilities(F.col("text"), models, chain.bits)[len(CATEGORIES) - 1] < chain.threshold)

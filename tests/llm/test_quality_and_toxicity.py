@@ -94,10 +94,79 @@ def test_chain_uses_out_of_fold_probabilities():
     # probabilities show that the first category cannot be predicted
     rows_ = [np.unique(pick.integers(0, 2**20, 30)).astype(np.uint32) for _ in range(200)]
     first = pick.integers(0, 2, 200)
-    models = fit_chain(rows_, np.column_stack([first, first]), Chain(words=5000))
+    models = fit_chain(rows_, np.column_stack([first, first]), Chain())
     assert abs(models[1].earlier[0]) < 2
 
 
+def _newton(x, y, ridge):
+    """Ridge logistic regression by Newton steps on a dense table whose last column is constant."""
+    w = np.zeros(x.shape[1])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-x @ w))
+        slope = x.T @ (p - y) / len(y) + ridge * w
+        w = w - np.linalg.solve((x.T * (p * (1 - p))) @ x / len(y) + np.diag(ridge + 1e-12), slope)
+    return w
+
+
+def _plain_fit(rows_, earlier, y, chain):
+    """Probabilities of other rows by a model of these, one dense column for each word."""
+    words = sorted(set().union(*map(set, rows_)))
+    table = np.array([[w in own for w in words] for own in map(set, rows_)], dtype=float)
+    n, share = len(y), y.mean()
+    held = table.sum(axis=0)
+    gain = (table.T @ y - held * share) ** 2 / np.maximum(held * (n - held) * share * (1 - share), 1e-9) * (held / (held + 4)) ** 2
+    ridge = np.concatenate((chain.ridge / np.maximum(gain, 1e-4) ** chain.trust, np.full(earlier.shape[1], chain.earlier), [0]))
+    w = _newton(np.column_stack((table, earlier, np.ones(n))), y, ridge)
+
+    def of(others, before):
+        table = np.array([[v in own for v in words] for own in map(set, others)], dtype=float)
+        return 1 / (1 + np.exp(-np.column_stack((table, before, np.ones(len(others)))) @ w))
+
+    return of
+
+
+def test_chain_equals_a_plain_one():
+    pick = np.random.default_rng(5)
+    rows_ = [np.unique(pick.integers(0, 12, 5)).astype(np.uint32) for _ in range(150)]
+    first = np.array([(3 in r) ^ (pick.random() < 0.2) for r in rows_]).astype(float)
+    second = np.array([(7 in r) ^ (pick.random() < 0.2) for r in rows_]).astype(float)
+    wanted = np.column_stack([first, second, np.maximum(first, second)])
+    chain = Chain(ridge=1e-4, tolerance=1e-6, rounds=1000)
+    models = fit_chain(rows_, wanted, chain)
+    fold = np.array([int(r.astype(np.int64).sum()) * 2654435761 % 2**32 % chain.folds for r in rows_])
+    earlier, full = np.zeros((150, 0)), np.zeros((150, 0))
+    for category in range(3):
+        y = wanted[:, category]
+        full = np.column_stack((full, _plain_fit(rows_, earlier, y, chain)(rows_, full)))
+        unseen = np.zeros(150)
+        for k in range(chain.folds):
+            train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+            unseen[test] = _plain_fit([rows_[i] for i in train], earlier[train], y[train], chain)([rows_[i] for i in test], earlier[test])
+        earlier = np.column_stack((earlier, unseen))
+    found = np.zeros((150, 0))
+    row, word = np.repeat(np.arange(150), [len(r) for r in rows_]), np.concatenate(rows_).astype(np.int64)
+    for model in models:
+        found = np.column_stack((found, model.probabilities(row, word, found)))
+    assert np.abs(found - full).max() < 1e-3
+
+
+def test_verdict_comes_through_the_chain():
+    texts = [t for _, t, _ in labelled("toxic")][:1500]
+    both = {i: (q, t) for i, q, t in rows(LARGE, "labels", "doc_id", "quality", "toxic")}
+    ids = [i for i, *_ in labelled("toxic")][:1500]
+    wanted = np.array([[t * q, t * (1 - q), t] for q, t in (both[i] for i in ids)], dtype=float)
+    words = []
+    for n, row, word in text_words(pa.array(texts), 20):
+        at = np.searchsorted(row, np.arange(n + 1))
+        words.extend(word[at[i] : at[i + 1]] for i in range(n))
+    models = fit_chain(words, wanted)
+    assert toxicity.CATEGORIES[-1] == "toxic" and len(models) == 3 and models[-1].earlier.any()
+    whole = predict(pa.array(texts), models, 20)
+    blind = [toxicity.Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(i), -50.0) for i in range(2)]
+    without = predict(pa.array(texts), [*blind, models[-1]], 20)
+    assert ((whole[:, -1] >= 0.5) != (without[:, -1] >= 0.5)).any()
+
+
 @pytest.mark.parametrize("operator", [quality, toxicity])
 def test_odd_rows(spark, operator):
     pick = random.Random(8)
