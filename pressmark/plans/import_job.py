@@ -53,14 +53,19 @@ class ImportJob:
         target: str,
         start_index: int = 0,
         markdown: bool = False,
+        packed: bool = False,
     ) -> None:
-        """Write import files, the rejects table and, if wanted, markdown below ``target``."""
+        """Write import files, the rejects table and, if wanted, markdown below ``target``.
+
+        ``packed`` keeps many markdown documents a file, else each is a file of its own.
+        """
         with job(pages.sparkSession):
             rows = stage(self.rows(pages, first, last, order), "rows")
             kept = stage(last_per_key(accepted(rows), "url", order).drop(order), "articles")
             numbered = stage(assign_ids(kept, start_index), "numbered")
             items = writers.import_items(numbered, self.upload_root, self.zone)
-            writers.write_texts(writers.import_files(items, self.limit), f"{target}/import")
+            writers.write_named_texts(writers.import_files(items, self.limit), f"{target}/import")
             writers.write_rejects(rejects(rows), f"{target}/rejects")
             if markdown:
-                writers.write_texts(writers.markdown_files(numbered, self.upload_root), f"{target}/markdown")
+                write = writers.write_packed if packed else writers.write_texts
+                write(writers.markdown_files(numbered, self.upload_root), f"{target}/markdown")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressmark import constants as K
 from pressmark.operators.shards import assign_shards
-from pressmark.session import stage
+from pressmark.session import remove, stage
 from pressmark.sinks import render, templates as T
 
 HEADER_BYTES = len(T.IMPORT_HEADER.encode())
@@ -57,6 +59,50 @@ def write_texts(documents: DataFrame, path: str, name: str = "file_name", conten
     rows.write.partitionBy("file_name").text(path)
 
 
+def write_named_texts(documents: DataFrame, path: str, name: str = "file_name", content: str = "content") -> None:
+    """One text file per row, with exactly the row's name, directly below ``path``.
+
+    For files of some size, such as import files. Spark's writer writes and commits them in a folder of its own below
+    ``path``; then they are moved by name, which copies nothing. Until all are written none has its name, and
+    a failed job leaves none. Two rows of one name, or a name with a slash, are an error.
+    """
+    spark = documents.sparkSession
+    staging = f"{path.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    try:
+        write_texts(documents, staging, name, content)
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        system = hadoop(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+        plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+        moves = []
+        for folder in system.listStatus(hadoop(staging)):
+            label = folder.getPath().getName()
+            if not label.startswith("file_name="):
+                continue
+            target = plain(label.removeprefix("file_name="))
+            parts = [f.getPath() for f in system.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-")]
+            if len(parts) != 1 or "/" in target:
+                raise ValueError(f"{len(parts)} files named {target}")
+            moves.append((parts[0], target))
+        for part, target in moves:
+            system.delete(hadoop(f"{path.rstrip('/')}/{target}"), False)
+            if not system.rename(part, hadoop(f"{path.rstrip('/')}/{target}")):
+                raise OSError(f"{target} was not moved to its name")
+    finally:
+        remove(spark, staging)
+
+
+def write_packed(documents: DataFrame, path: str, name: str = "file_name", content: str = "content") -> None:
+    """Many documents a file, in order of their names: for corpora of small documents.
+
+    The files are Parquet with ``file_name`` and ``content``; as names are in order, a look-up by
+    name reads one block of one file. Names that repeat stay. There are as many files as the session
+    has shuffle partitions, fewer for little data. See :func:`pressmark.sources.corpus.read_packed`.
+    """
+    rows = documents.select(F.col(name).alias("file_name"), F.col(content).alias("content"))
+    spread = rows.repartitionByRange("file_name", F.xxhash64("content"))
+    spread.sortWithinPartitions("file_name").write.parquet(path)
+
+
 def written_name(path: Column) -> Column:
     """The name of a document by its path: that of the folder made for it, else the file's own.
 

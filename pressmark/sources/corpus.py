@@ -17,6 +17,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("content"))
 
 
+def read_packed(spark: SparkSession, path: str) -> DataFrame:
+    """``path`` (the name) and ``content`` of documents that :func:`pressmark.sinks.writers.write_packed` wrote."""
+    return spark.read.schema("file_name string, content string").parquet(path).select(F.col("file_name").alias("path"), "content")
+
+
 def _blocks(content: Column, marker: str) -> Column:
     """Text before, between and after the marker lines."""
     return F.split(content, rf"(?dm)^{marker}$\n?")

@@ -219,6 +219,37 @@ def test_written_documents_are_read_back(spark, tmp_path):
     assert [r["filename"] for r in classify_job.unlabelled_documents(spark, str(tmp_path / "plain")).collect()] == ["a b.md"]
 
 
+def test_named_files(spark, tmp_path):
+    def listing():
+        return sorted(f.name for f in tmp_path.iterdir() if not f.name.startswith("."))
+
+    rows = [(f"import-{n}.xml", f"<a>{n}</a>\n") for n in range(30)] + [("a b=%2F+é.xml", "x")]
+    files = spark.createDataFrame(rows, "file_name string, content string").repartition(3)
+    failing = files.withColumn("content", F.when(F.col("file_name") == "import-7.xml", F.raise_error(F.lit("no"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="no"):
+        writers.write_named_texts(failing, str(tmp_path))
+    assert listing() == []
+    writers.write_named_texts(files, str(tmp_path))
+    assert listing() == sorted(name for name, _ in rows)
+    assert (tmp_path / "import-7.xml").read_text() == "<a>7</a>\n"
+    with pytest.raises(ValueError, match="2 files"):
+        writers.write_named_texts(files.where("file_name = 'import-1.xml'").unionByName(files).repartition(8), str(tmp_path))
+    assert listing() == sorted(name for name, _ in rows)
+    writers.write_named_texts(files.limit(0), str(tmp_path / "none"))
+
+
+def test_packed_documents(spark, tmp_path):
+    documents = spark.range(100_000).selectExpr(
+        "concat('doc-', id % 99990, '.md') file_name", "concat('---\ntitle: ', id, '\n---\nbody ', id, '\n') content")
+    writers.write_packed(documents, str(tmp_path / "packed"))
+    assert len(list((tmp_path / "packed").glob("part-*"))) < 100
+    found = corpus.read_packed(spark, str(tmp_path / "packed")).withColumnRenamed("path", "file_name")
+    assert found.count() == 100_000 and found.exceptAll(documents).isEmpty()
+    parsed = classify_job.unlabelled_documents(spark, str(tmp_path / "packed"), packed=True)
+    row = parsed.where("filename = 'doc-99989.md'").first()
+    assert (row["metadata"], row["article_body"]) == ("title: 99989\n", "body 99989\n")
+
+
 def test_cross_validation(spark, learnable):
     rows = classify.cross_validate(learnable, 2, settings=SMALL, seed=1).collect()
     assert {(r["fold"], r["label"]) for r in rows} == {(f, c) for f in (0, 1) for c in ("all", "big", "cats", "dogs")}
@@ -276,7 +307,7 @@ def site(spark):
 def test_import_job(spark, site, tmp_path):
     job = ImportJob("http://h/", "http://up/", limit=10)
     job.run(site, *archive.month_range("01/2011", "04/2011"), order="n", target=str(tmp_path), start_index=7, markdown=True)
-    files = texts_below(tmp_path / "import")
+    files = {file.name: file.read_text() for file in (tmp_path / "import").iterdir() if not file.name.startswith(".")}
     # a limit below the header's size closes the first file before its first item
     assert sorted(files) == ["import-1.xml", "import-2.xml"]
     first = files["import-1.xml"]
