@@ -136,12 +136,54 @@ def test_body_keeps_hidden_parts_and_figures_nest(spark):
     assert A.extract(frame, keep_hidden=False).first()["article_body"] == '<p>he</p><a href="http://h.com/d">e</a>'
 
 
+def jpeg(width: int, height: int, frame: int = 0xC0, before: bytes = b"") -> bytes:
+    def segment(code: int, data: bytes) -> bytes:
+        return bytes([0xFF, code]) + struct.pack(">H", len(data) + 2) + data
+
+    size = struct.pack(">BHHB", 8, height, width, 1) + b"\x01\x11\x00"
+    return b"\xff\xd8" + segment(0xE0, b"JFIF\0") + before + segment(frame, size) + segment(0xDA, b"") + b"\x01\x02\xff\xd9"
+
+
+def test_image_headers(spark):
+    def gif(kind):
+        return kind + struct.pack("<HH", 513, 4) + b"\0\0\0;"
+
+    comments = b"".join(b"\xff\xfe" + struct.pack(">H", 4) + b"\xff\xc0" for _ in range(5000))
+    large = b"\xff\xe1" + struct.pack(">H", 65535) + b"\xff" * 65533
+    whole = {
+        "png": (png(7, 3), 7, 3), "wide png": (png(70_000, 1), 70_000, 1), "gif87": (gif(b"GIF87a"), 513, 4),
+        "gif89": (gif(b"GIF89a"), 513, 4), "jpeg": (jpeg(640, 480), 640, 480), "progressive": (jpeg(3, 65535, 0xC2), 3, 65535),
+        "many segments": (jpeg(9, 8, 0xC1, comments), 9, 8), "large segments": (jpeg(9, 8, 0xC0, large * 3), 9, 8),
+        "fill bytes": (jpeg(5, 6, 0xC0, b"\xff" * 9 + b"\xff\xd0"), 5, 6),
+    }
+    cut = {
+        "png": png(7, 3)[:23], "signature": png(7, 3)[:8], "gif": gif(b"GIF89a")[:9], "jpeg": jpeg(640, 480)[:16],
+        "start": b"\xff\xd8", "scan first": b"\xff\xd8\xff\xda\0\2", "no marker": b"\xff\xd8abcdefgh",
+        "length 0": b"\xff\xd8\xff\xe0\0\0" + jpeg(1, 1), "table": b"\xff\xd8\xff\xc4\0\x09" + b"\x01" * 7, "empty size": jpeg(0, 5),
+    }
+    other = {"empty": b"", "text": b"no image", "null": None, "png without its first byte": png(7, 3)[1:]}
+    made = [(f"whole {n}", data) for n, (data, _, _) in whole.items()]
+    made += [(f"cut {n}", data) for n, data in cut.items()] + [(f"other {n}", data) for n, data in other.items()]
+    files = spark.createDataFrame([(n, d if d is None else bytearray(d)) for n, d in made], "path string, content binary")
+    found = {r["image_url"]: tuple(r)[1:] for r in images.image_headers(files).collect()}
+    assert len(found) == len(made)
+    assert {n: found[f"whole {n}"] for n in whole} == {n: (w, h, None) for n, (_, w, h) in whole.items()}
+    assert {found[f"cut {n}"] for n in cut} == {(None, None, images.TRUNCATED)}
+    assert {found[f"other {n}"] for n in other} == {(None, None, images.NOT_AN_IMAGE)}
+    assert images.image_headers(files.limit(0)).collect() == []
+
+
 def test_image_sizes(spark, tmp_path):
     (tmp_path / "b.png").write_bytes(png(7, 3))
     (tmp_path / "broken.png").write_bytes(b"no image")
+    (tmp_path / "cut.png").write_bytes(png(7, 3)[:20])
     name = F.element_at(F.split("origin", "/"), -1)
     sizes = images.image_sizes(spark, str(tmp_path), F.concat(F.lit("http://h.com/"), name))
     assert [tuple(r) for r in sizes.collect()] == [("http://h.com/b.png", 7, 3)]
+    headers = images.image_headers(images.image_files(spark, str(tmp_path)), name)
+    assert {r["image_url"]: r["reason"] for r in headers.collect()} == {
+        "b.png": None, "broken.png": images.NOT_AN_IMAGE, "cut.png": images.TRUNCATED
+    }
     body = '<div id="main"><p class="date">March 3, 2011</p><figure class="article-image"><img src="/{}"></figure></div>'
     made = [("http://h.com/p.html", body.format("b.png")), ("http://h.com/q.html", body.format("c.png"))]
     twice = sizes.unionByName(sizes.withColumn("height", F.col("height") - 1))
