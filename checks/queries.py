@@ -13,7 +13,7 @@ from pressmark.functions.html import Selector
 from pressmark.operators import articles as A, authors, classify, folds, labels, metrics, tfidf
 from pressmark.operators.articles import NEWS_LAYOUT, PLAIN_LAYOUT
 from pressmark.plans.import_job import ImportJob
-from pressmark.session import shared_dir
+from pressmark.session import shared_dir, stage
 from pressmark.sinks import render, writers
 from pressmark.sources import archive, corpus, pages as P
 
@@ -38,8 +38,9 @@ def joined(items: Column, separator: str = "|") -> Column:
 def article_rows(spark: SparkSession, folder: str) -> DataFrame:
     source = T.pages(spark, folder).withColumn("url", urls.without_query(F.col("url")))
     rows = A.extract(source, PLAIN_LAYOUT, carry=["page_id"])
-    kept = A.last_per_key(A.accepted(rows), "url", "page_id")
-    return kept.select("url", "file_name", "title", "author", "article_body_no_html")
+    fields = ["url", "file_name", "title", "author", "article_body_no_html"]
+    stored = stage(A.accepted(rows).select(*fields, "page_id"), "rows")
+    return A.last_per_key(stored, "url", "page_id").select(*fields)
 
 
 @query

@@ -14,7 +14,7 @@ from pressmark.functions.html import Selector
 from pressmark.functions.text import ascii_fold, decode_references, once, or_empty, squeeze_spaces
 from pressmark.functions.urls import percent_spaces, resolve, slug
 from pressmark.operators.authors import GENERIC, with_account
-from pressmark.session import spread
+from pressmark.session import spread, stage
 from pressmark.sources.pages import with_fetch_reason
 
 NO_MAIN = "no main section"
@@ -242,12 +242,26 @@ def reject_counts(rows: DataFrame) -> DataFrame:
 
 
 def last_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Of rows with equal keys the one with the highest order.
+    """Of rows with equal keys the one with the highest order; any one of those that tie. Nulls are equal to each other, and lowest.
 
-    An aggregate, not a window: copies of one key are reduced before the shuffle, so a key
-    that holds much of the table is no hot group.
+    ``rows`` is read twice: hand in a stored table. Only keys and orders are grouped. The keys that occur
+    more than once are joined to the rows, so the rows of all others are neither sorted nor aggregated, nor shuffled
+    while Spark's size check lets it broadcast those keys. Beyond that a key that holds much of the table is the side
+    of a join that adaptive execution splits. Only rows that tie are aggregated whole, if there are any.
     """
-    return rows.groupBy(key).agg(F.max_by(F.struct("*"), order).alias("_last")).select("_last.*")
+    narrow = rows.groupBy(F.col(key).alias("_key"), F.col(order).alias("_order")).agg(F.count("*").alias("_copies"))
+    repeated = narrow.groupBy("_key").agg(
+        F.max("_order").alias("_best"), F.sum("_copies").alias("_rows"), F.max_by("_copies", "_order").alias("_at_best")
+    ).where("_rows > 1")
+    # without any order all rows of a key tie
+    repeated = stage(repeated.select("_key", "_best", (F.coalesce("_at_best", "_rows") > 1).alias("_tied")), "repeated")
+    found = rows.join(repeated, rows[key].eqNullSafe(repeated["_key"]), "left")
+    is_best = F.col(order).eqNullSafe(F.col("_best"))
+    kept = found.where(F.col("_tied").isNull() | (is_best & ~F.col("_tied"))).select(*rows.columns)
+    if repeated.where("_tied").isEmpty():
+        return kept
+    tied = found.where(F.col("_tied") & is_best).groupBy("_key").agg(F.first(F.struct(*rows.columns)).alias("_one"))
+    return kept.unionByName(tied.select("_one.*"))
 
 
 def absolute_links(pages: DataFrame, html: str = "html") -> DataFrame:

@@ -37,12 +37,15 @@ class ImportJob:
         pages = pages.where(below_archives(F.col("url"), self.site, first, last))
         archives = month_archives(pages.sparkSession, self.site, first, last)
         links = site_links(pages, archives, ARCHIVE_LIST).select(F.col("article_url").alias("url")).distinct()
+        # stored, so that Spark's size check knows the links and sends them to the pages, whose HTML then stays where it is
+        links = stage(links, "links")
         wanted = pages.join(links, "url", "left_semi")
         return extract(wanted, self.layout, self.accounts, self.sizes, carry=[order])
 
     def articles(self, pages: DataFrame, first: datetime.date, last: datetime.date, order: str) -> DataFrame:
         """One accepted row per URL; of several the one fetched last."""
-        return last_per_key(accepted(self.rows(pages, first, last, order)), "url", order).drop(order)
+        rows = stage(accepted(self.rows(pages, first, last, order)), "rows")
+        return last_per_key(rows, "url", order).drop(order)
 
     def run(
         self,

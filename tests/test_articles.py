@@ -98,6 +98,27 @@ def test_last_accepted_row_wins(spark):
     assert [r["url"] for r in A.rejects(frame).collect()] == ["u"]
 
 
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_last_per_key(spark, broadcast):
+    made = [(f"k{i % 40}" if i % 3 else "hot", i, f"body {i}") for i in range(600)]
+    made += [(None, 1, "x"), (None, 2, "y"), ("unordered", None, "x"), ("unordered", None, "y"), ("half", None, "x"), ("half", -5, "y")]
+    wanted = {}
+    for key, n, body in made:
+        wanted[key] = max(wanted.get(key, (-1000, "")), (-1000 if n is None else n, body))
+    frame = spark.createDataFrame(made, "url string, n int, body string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        apart = A.last_per_key(frame.where("url is null or url <> 'unordered'"), "url", "n")
+        assert "SortAggregate" not in apart._jdf.queryExecution().executedPlan().toString()
+        assert {r["url"]: (r["n"], r["body"]) for r in apart.collect()} == {k: v for k, v in wanted.items() if k != "unordered"}
+        twice = A.last_per_key(frame.unionByName(frame), "url", "n").collect()
+        assert len(twice) == len(wanted) and twice[0].__fields__ == ["url", "n", "body"]
+        assert {r["url"]: r["body"] for r in twice if r["url"] != "unordered"} == {k: b for k, (_, b) in wanted.items() if k != "unordered"}
+        assert A.last_per_key(frame.limit(0), "url", "n").collect() == []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_accounts_table(spark):
     accounts = spark.createDataFrame([("jane roe", "Jane")], "alias string, account string")
     frame = spark.createDataFrame([("Jane ROE",), ("Bob",), (None,)], "name string")

@@ -327,6 +327,16 @@ def test_import_job(spark, site, tmp_path):
     assert [tuple(r) for r in rejected] == [("http://h/2011/03/gone.html", "no main section")]
 
 
+def test_pages_of_a_range_are_not_shuffled(spark, site, tmp_path):
+    site.write.parquet(str(tmp_path / "site"))
+    job = ImportJob("http://h/", "http://up/")
+    rows = job.rows(spark.read.parquet(str(tmp_path / "site")), *archive.month_range("03/2011", "03/2011"), "n")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    physical = rows._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+    assert "http://h/2011/03/unlinked.html" not in {r["url"] for r in rows.collect()}
+
+
 def test_save_training_set(spark, site, tmp_path):
     articles = ImportJob("http://h/", "http://up/").articles(site, *archive.month_range("03/2011", "03/2011"), "n")
     classify_job.save_training_set(articles, str(tmp_path / "set"))
