@@ -9,8 +9,8 @@ a shorter prefix of another are dropped by an anti-join. What remains is rendere
 Joins and groups use lengths and hashes alone. A first turn that a third of all conversations
 share is one row after partial aggregation. Only turns of one conversation meet in one place.
 
-Defined results: turns are ordered by number and role (nulls first), then by a hash of the
-text; gaps in the numbers do not matter. Rows that repeat a turn's number, role and text
+Defined results: turns are ordered by number and role (nulls first), then by the MD5 sum of the
+text (no text first); gaps in the numbers do not matter. Rows that repeat a turn's number, role and text
 count once. A null role is rendered as ``unknown`` and a null text as empty, but neither is
 equal to those in comparison. Rows without a conversation id are ignored. Of equal
 conversations the least id stays, ``copies`` counts them. Other columns are ignored.
@@ -22,16 +22,17 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 
 def _hashed(turns: DataFrame) -> DataFrame:
-    """Turns with two independent hashes of role and text."""
+    """Turns with two independent hashes of role and text, and a key that orders turns of equal number and role."""
     present = F.col("role").isNull(), F.col("text").isNull()
     one, two = F.xxhash64(F.lit(1), *present, "role", "text"), F.xxhash64(F.lit(2), "text", "role", *present)
-    return turns.where("conv_id is not null").select("conv_id", "turn", "role", "text", one.alias("x"), two.alias("y"))
+    tie = F.unhex(F.md5(F.col("text").cast("binary"))).alias("tie")
+    return turns.where("conv_id is not null").select("conv_id", "turn", "role", "text", tie, one.alias("x"), two.alias("y"))
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """Rows (conv_id, n, a, b, last): the hash of the first ``n`` turns of each conversation."""
-    narrow = _hashed(turns).select("conv_id", "turn", "role", "x", "y").distinct()
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), F.asc_nulls_first("role"), "x", "y")
+    narrow = _hashed(turns).select("conv_id", "turn", "role", "tie", "x", "y").distinct()
+    order = Window.partitionBy("conv_id").orderBy(*[F.asc_nulls_first(c) for c in ("turn", "role", "tie")])
     numbered = narrow.select("conv_id", "x", "y", F.row_number().over(order).alias("n"))
     salted = numbered.select("conv_id", "n", F.xxhash64("n", "x", "y").alias("x"), F.xxhash64("y", "x", "n").alias("y"))
     turn = Window.partitionBy("conv_id").orderBy("n")
@@ -56,7 +57,7 @@ def rendered(turns: DataFrame, begin: str = "<|{role}|>\n", end: str = "<|end|>\
     ``{role}`` in ``begin`` and ``end`` stands for the role of a turn; every text ends with a line feed.
     """
     kept = maximal(turns)
-    rows = _hashed(turns).select("conv_id", F.struct("turn", "role", "x", "y", "text").alias("t")).join(kept, "conv_id")
+    rows = _hashed(turns).select("conv_id", F.struct("turn", "role", "tie", "text").alias("t")).join(kept, "conv_id")
     grouped = rows.groupBy("conv_id").agg(
         F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"), F.collect_list("t").alias("turns")
     )
@@ -76,7 +77,7 @@ def rendered(turns: DataFrame, begin: str = "<|{role}|>\n", end: str = "<|end|>\
 ORACLE = r"""
 WITH turns AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
 chats AS (
-  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, text) AS turns, count(*) AS n
+  SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text) NULLS FIRST) AS turns, count(*) AS n
   FROM turns GROUP BY conv_id
 ), whole AS (
   SELECT turns, n, min(conv_id) AS conv_id, count(*) AS copies FROM chats GROUP BY turns, n

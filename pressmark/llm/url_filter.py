@@ -7,7 +7,8 @@ the address ends there). One strict term rejects an address; soft terms reject i
 prefixes come first: the longest rule that fits decides.
 
 Defined results: a null address, and one without ``://``, has an empty host and path, fits no
-rule and is judged by the terms in it (null: allowed). Repeated rows are judged alike. Rules
+rule and is judged by the terms in it (null: allowed). Repeated rows are judged alike, an empty table
+gives an empty result, long addresses are searched whole, other columns are ignored. Rules
 of equal length are told apart by their text, the first in order decides.
 """
 
@@ -116,7 +117,7 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, vocabulary: Vocabu
     """One row per page: page_id, host, path, rule, verdict, and the numbers of terms."""
     rows = pages.select("page_id", host(F.col("url")).alias("host"), path(F.col("url")).alias("path"), term_hits(F.col("url"), vocabulary).alias("hits"))
     rule = verdict = F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: (len(r.text), r.text), reverse=True)[::-1]:
+    for r in reversed(sorted(rules, key=lambda r: (-len(r.text), r.text))):  # later ones override
         fits = ((F.col("host") == r.host) | F.col("host").endswith("." + r.host)) & F.col("path").startswith(r.path)
         rule, verdict = F.when(fits, F.lit(r.text)).otherwise(rule), F.when(fits, F.lit(r.verdict)).otherwise(verdict)
     rejected = (F.col("hits.strict") > 0) | (F.col("hits.soft") >= vocabulary.soft_hits)

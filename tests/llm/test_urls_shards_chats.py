@@ -5,12 +5,13 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from checks.compare import database, sorted_rows
 from pressmark.llm import chats, queries, sharding, url_filter
-from pressmark.llm.url_filter import Vocabulary, hits
+from pressmark.llm.url_filter import Rule, Vocabulary, hits
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -55,6 +56,28 @@ def test_urls(spark):
     assert hits("free win", Vocabulary(strict=(), soft=())) == (0, 0)
 
 
+def test_rules_of_equal_length(spark, tmp_path):
+    rules = (Rule("a.net", "/", "allow"), Rule("net", "/x/", "block"), Rule("net", "/", "block"))
+    pages = spark.createDataFrame([(1, "http://a.net/x/y"), (2, "http://a.net/"), (3, "http://b.net/x/")], "page_id long, url string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    found = sorted(tuple(r) for order in (rules, rules[::-1]) for r in url_filter.judged(pages, order).collect())
+    assert [r[3:5] for r in found[::2]] == [("a.net/", "allow"), ("a.net/", "allow"), ("net/x/", "block")]
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages/*.parquet')")
+    names = url_filter.judged(pages, rules).columns
+    assert sorted(database.execute(f"SELECT {', '.join(names)} FROM ({url_filter.oracle(rules)})").fetchall()) == found[::2]
+
+
+def test_turns_of_equal_number_and_role(spark, tmp_path):
+    rows = [(1, 1, "user", t) for t in ("d", "a", "c", "b", None, "")] + [(2, 1, "user", t) for t in (None, "", "b")]
+    rows += [(3, 1, "user", None), (4, None, None, "x"), (4, None, "user", "x"), (4, None, "user", None)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.write.parquet(str(tmp_path / "chats"))
+    database = duckdb.connect()
+    database.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/chats/*.parquet')")
+    assert {tuple(r) for r in chats.rendered(table).collect()} == set(database.execute(chats.ORACLE).fetchall())
+
+
 def test_shards(spark):
     texts = [None, "", "ä" * 9, "x" * 200_000, "same", "same"]
     given = [(i, texts[i % 6]) for i in range(3000)] + [(5, "same"), (5, "same"), (None, "n"), (None, None)]
