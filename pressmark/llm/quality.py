@@ -13,7 +13,8 @@ Memory of a task: ``ROWS`` documents times ``features`` or ``sample`` numbers.
 
 Defined results: a null or empty text, and one without a trigram or any similar neighbour,
 gets the share of label 1 in the sample. Equal texts have equal scores. Without labelled rows
-every score is 0.5. Neighbours at equal similarity count in the order of the sample. Only
+every score is 0.5. Similarities are worked out in doubles and rounded to ``DIGITS`` digits, so that the documents
+beside it, which may change the last bits of a product, do not change a score. Neighbours at equal similarity count in the order of the sample. Only
 ``doc_id`` and ``text`` of ``documents`` are read.
 """
 
@@ -33,13 +34,14 @@ from pressmark.llm.samples import fold, labelled_sample
 from pressmark.llm.words import row_chunks, word_hashes
 
 ROWS = 256
+DIGITS = 5
 
 
 @dataclass(frozen=True)
 class Neighbours:
     """Most labelled rows to learn from, terms, dimensions, voters, power of similarity, weight of repeats.
 
-    The last of the ``features`` terms counts repeated words; their number is a power of two.
+    ``features`` is a power of two; one more term counts repeated words.
     """
 
     sample: int = 4000
@@ -60,7 +62,7 @@ class VoteModel:
 
 
 def trigram_counts(column: pa.Array, features: int) -> Iterator[np.ndarray]:
-    """Matrices of trigram counts of at most ``ROWS`` consecutive texts."""
+    """Matrices of trigram counts of at most ``ROWS`` consecutive texts, repeated words in a last column of their own."""
     for _, data, offsets in row_chunks(column):
         wide = data.astype(np.uint32)
         codes = np.zeros(len(data), dtype=np.int64)
@@ -74,9 +76,7 @@ def trigram_counts(column: pa.Array, features: int) -> Iterator[np.ndarray]:
             row = np.repeat(np.arange(len(lengths)), lengths)
             inside = np.arange(own[0], own[-1]) + 2 < own[1:][row] if len(row) else np.zeros(0, dtype=bool)
             flat = np.bincount((row * features + codes[own[0] : own[-1]])[inside], minlength=len(lengths) * features)
-            counts = flat.reshape(len(lengths), features)
-            counts[:, features - 1] = repeats[begin : begin + ROWS]
-            yield counts
+            yield np.column_stack((flat.reshape(len(lengths), features), repeats[begin : begin + ROWS]))
 
 
 def _repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -102,7 +102,7 @@ def _weighted(counts: np.ndarray, idf: np.ndarray, repeats: float) -> np.ndarray
 
 def fit(texts: pa.Array, labels: np.ndarray, settings: Neighbours = Neighbours()) -> VoteModel:
     """Latent vectors of labelled texts. ``settings.features`` is a power of two."""
-    counts = [c.astype(np.float32) for c in trigram_counts(texts, settings.features)] or [np.zeros((0, settings.features), np.float32)]
+    counts = [c.astype(np.float32) for c in trigram_counts(texts, settings.features)] or [np.zeros((0, settings.features + 1), np.float32)]
     return _fit(np.concatenate(counts), labels, settings)
 
 
@@ -123,15 +123,24 @@ def _singular_vectors(rows: np.ndarray, count: int) -> np.ndarray:
     return np.ascontiguousarray((space @ turn.T)[:, :count], dtype=np.float32)
 
 
+def _nearest(similar: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the ``k`` greatest values of each row; of equal ones the first."""
+    least = -np.partition(-similar, k - 1, axis=1)[:, k - 1 : k]
+    above, equal = similar > least, similar == least
+    room = k - above.sum(axis=1, keepdims=True)
+    return np.nonzero(above | (equal & (np.cumsum(equal, axis=1) <= room)))[1].reshape(len(similar), k)
+
+
 def votes(counts: np.ndarray, model: VoteModel) -> np.ndarray:
     """Scores of a block of documents by exact cosines with all labelled vectors."""
     if not len(model.labels):
         return np.full(len(counts), 0.5)
     prior = float(model.labels.mean())
-    similar = _unit(_weighted(counts, model.idf, model.settings.repeats) @ model.axes) @ model.vectors.T
-    k = min(model.settings.voters, similar.shape[1])
-    nearest = np.argpartition(-similar, k - 1, axis=1)[:, :k] if k < similar.shape[1] else np.tile(np.arange(k), (len(counts), 1))
-    weight = np.maximum(np.take_along_axis(similar, nearest, axis=1).astype(np.float64), 0) ** model.settings.power
+    latent = _weighted(counts, model.idf, model.settings.repeats).astype(np.float64) @ model.axes.astype(np.float64)
+    length = np.sqrt(np.einsum("ij,ij->i", latent, latent))[:, None]
+    similar = np.round(latent / np.maximum(length, 1e-12) @ model.vectors.astype(np.float64).T, DIGITS)
+    nearest = _nearest(similar, min(model.settings.voters, similar.shape[1]))
+    weight = np.maximum(np.take_along_axis(similar, nearest, axis=1), 0) ** model.settings.power
     total = weight.sum(axis=1)
     known = (total > 1e-9) & counts.any(axis=1)
     score = np.where(known, (weight * model.labels[nearest]).sum(axis=1) / np.maximum(total, 1e-9), prior)
@@ -148,7 +157,7 @@ def train(documents: DataFrame, labels: DataFrame, label: str, settings: Neighbo
 
     sample = labelled_sample(documents, labels.select("doc_id", F.col(label).cast("int").alias("label")), ["label"], settings.sample)
     rows = sorted(sample.mapInArrow(vectors, "counts binary, label int").collect())  # at most settings.sample rows
-    counts = np.zeros((len(rows), settings.features), dtype=np.float32)
+    counts = np.zeros((len(rows), settings.features + 1), dtype=np.float32)
     for count, row in zip(counts, rows):
         count[:] = np.frombuffer(zlib.decompress(row["counts"]), dtype="<u4")
     return _fit(counts, np.array([r["label"] for r in rows], dtype=np.float32), settings)
