@@ -12,8 +12,10 @@ from pressmark.llm.decontamination import Seeds, decontaminated, judged
 
 
 def plain_leaks(own: list[str], item: list[str], seeds: Seeds = Seeds()) -> bool:
-    """Every alignment, every window that holds a seed where a mask's words agree."""
+    """Every alignment, every window that holds a seed where a mask's words agree; short items whole."""
     size, span = seeds.window, seeds.span
+    if len(item) < span:
+        return len(item) >= seeds.shortest and any(own[i : i + len(item)] == item for i in range(len(own)))
     for shift in range(-len(item), len(own)):
         same = {i for i in range(len(item)) if 0 <= i + shift < len(own) and own[i + shift] == item[i]}
         for at in range(max(0, -shift), min(len(item) - span, len(own) - span - shift) + 1):
@@ -72,6 +74,18 @@ def test_planted_passages(spark, rows_to_broadcast):
     assert 30 < sum(map(bool, wanted.values())) < 150
 
 
+@pytest.mark.parametrize("rows_to_broadcast", [1_000_000, 0])
+def test_short_items(spark, rows_to_broadcast):
+    docs = [(1, "the capital of the land of Zog"), (2, "capital of the land of Zog lies"), (3, "capital of the land of"),
+            (4, "capital of the land in Zog"), (5, "of Zog"), (6, None), (7, "a b\nc D"), (8, "a b c")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = [(1, "Capital of the land of Zog"), (2, "of Zog"), (3, "A b c d"), (4, "a b c")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id: r["items"] for r in judged(docs, bench, Seeds(broadcast_rows=rows_to_broadcast)).collect()}
+    assert found == {1: "1", 2: "1", 3: "", 4: "", 5: "", 6: "", 7: "3", 8: ""}
+    assert {r.doc_id for r in judged(docs, bench, Seeds(shortest=2)).where("contaminated").collect()} == {1, 2, 5, 7, 8}
+
+
 @pytest.mark.parametrize("seeds", [Seeds(), Seeds(broadcast_rows=0), Seeds(broadcast_bytes=10)])
 def test_odd_rows(spark, seeds):
     passage = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
