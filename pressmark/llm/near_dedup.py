@@ -307,17 +307,14 @@ def without_near_duplicates(documents: DataFrame, settings: MinHash = MinHash())
     Of rows that share a kept ``doc_id`` the one with the least text stays. Rows without a
     ``doc_id`` stay.
     """
-    dropped = near_duplicates(documents, settings).where("not kept").select("doc_id").distinct()
+    # ids are stored, so that Spark's size check knows them and sends them to the texts, which then stay where they are
+    dropped = stage(near_duplicates(documents, settings).where("not kept").select("doc_id").distinct(), "dropped")
     alike = documents.join(dropped, "doc_id", "left_anti").select(documents.columns)
-    number = unused(documents, "row_of_id")
-    same_id = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("text")
-    numbered = alike.withColumn(number, F.row_number().over(same_id))
-    return numbered.where((F.col(number) == 1) | F.col("doc_id").isNull()).drop(number)
-
-
-def unused(table: DataFrame, name: str) -> str:
-    """``name``, with as many underscores as no column of the table has."""
-    taken = {c.lower() for c in table.columns}
-    while name in taken:
-        name += "_"
-    return name
+    repeated = documents.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    repeated = stage(repeated, "repeated")
+    if repeated.isEmpty():
+        return alike
+    once = alike.join(repeated, "doc_id", "left_anti").select(documents.columns)
+    several = alike.join(repeated, "doc_id", "left_semi").groupBy("doc_id")
+    least = several.agg(F.min_by(F.struct(*documents.columns), F.struct("text")).alias("least"))
+    return once.unionByName(least.select("least.*"))
