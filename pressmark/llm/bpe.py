@@ -87,19 +87,23 @@ class ByteBpe:
         starts = np.searchsorted(words, np.arange(len(new) + 1)).tolist()
         self.known.update((piece, ids[starts[i] : starts[i + 1]]) for i, piece in enumerate(new))
 
-    def offsets(self, text: str, ids: list[int]) -> list[tuple[int, int]]:
-        """First and past-last character of every token; tokens within one character share it."""
+    def offsets(self, text: str, ids: list[int | None]) -> list[tuple[int, int]]:
+        """First and past-last character of every token; tokens within one character share it.
+
+        An id that is null or unknown has no bytes: it begins and ends where the next token begins. What
+        ids say beyond the end of the text begins and ends there.
+        """
         bounds, done = [], 0
         starts = [0]  # byte at which each character begins
         for character in text:
             starts.append(starts[-1] + len(character.encode()))
         at = 0
         for i in ids:
-            begin, done = done, done + len(self.tokens[i])
-            while starts[at + 1] <= begin:
+            begin, done = done, min(done + len(self.tokens.get(i, b"")), starts[-1])
+            while at < len(text) and starts[at + 1] <= begin:
                 at += 1
             end = at
-            while starts[end] < done:
+            while done > begin and starts[end] < done:
                 end += 1
             bounds.append((at, end))
         return bounds

@@ -64,6 +64,16 @@ def test_columns_and_offsets(spark, wanted):
     assert [r[0] for r in nothing.select(bpe.decode(F.col("ids"), RANKS, PATTERN)).collect()] == [None, b"", b""]
 
 
+def test_offsets_of_unknown_ids():
+    coder = bpe.ByteBpe(RANKS, PATTERN)
+    ((first, *rest),) = coder.encode(["hello wörld"])
+    known = coder.offsets("hello wörld", [first, *rest])
+    found = coder.offsets("hello wörld", [None, first, 99_999_999, *rest, None])
+    assert [found[1], *found[3:-1]] == known
+    assert found[0] == (0, 0) and found[2] == (known[0][1],) * 2 and found[-1] == (11, 11)
+    assert coder.offsets("", [first, None]) == [(0, 0), (0, 0)] and coder.offsets("he", [first, first])[1] == (2, 2)
+
+
 def test_split_characters():
     coder = bpe.ByteBpe(RANKS, PATTERN)
     text = "日本 👩‍👩‍👧 naïve 𝄞"
