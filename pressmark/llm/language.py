@@ -211,7 +211,7 @@ def _parsed(columns: np.ndarray, bounds: np.ndarray, table: np.ndarray, first: n
 
 def train(documents: DataFrame, settings: Parse = Parse()) -> LanguageModel:
     """Learn from bounded stretches of labelled text: parts of the texts first by a hash, for each language."""
-    labelled = documents.select(letters(F.col("text")).alias("text"), F.col("lang")).where("lang is not null and text is not null")
+    labelled = documents.select(F.col("text"), F.col("lang")).where("lang is not null").where(F.col("text").rlike(r"\p{L}"))
     distinct = labelled.groupBy("lang", F.xxhash64("text").alias("hash")).agg(F.count("*").alias("copies"))
     languages = [r["lang"] for r in distinct.select("lang").distinct().limit(settings.languages + 1).collect()]
     if len(languages) > settings.languages:
@@ -224,9 +224,10 @@ def train(documents: DataFrame, settings: Parse = Parse()) -> LanguageModel:
     chosen = distinct.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= settings.texts).select("lang", "hash")
     hashed = labelled.withColumn("hash", F.xxhash64("text"))
     stretches = hashed.join(F.broadcast(chosen), ["lang", "hash"]).groupBy("lang", "hash").agg(
-        F.first(F.left("text", F.lit(each))).alias("text")
+        F.first("text").alias("text")
     )
     found: dict[str, list[str]] = {}
+    stretches = stretches.select("lang", "hash", F.left(letters(F.col("text")), F.lit(each)).alias("text"))
     for r in sorted(stretches.collect(), key=lambda r: (r["lang"], r["hash"])):  # languages x texts x each at most
         found.setdefault(r["lang"], []).append(r["text"])
     return learn({lang: _stretch([t.encode() for t in texts], each) for lang, texts in found.items()})
