@@ -1,7 +1,7 @@
 """Connected components of a table of links, by alternating large and small stars.
 
 Each round is two joins of the links with their least neighbours; links of a node are never
-gathered in one place. Rounds are written to the shared folder, so a lost executor repeats
+gathered in one place, also not for these joins: they are dealt out by both ends. Rounds are written to the shared folder, so a lost executor repeats
 one round at most.
 """
 
@@ -35,15 +35,30 @@ def _state(edges: DataFrame) -> tuple[int, int]:
     return row["n"], row["x"]
 
 
+def join_spread(rows: DataFrame, unique: DataFrame, key: str, by: str, how: str = "inner", salts: int = 64) -> DataFrame:
+    """Join ``unique`` on a key that may hold most of ``rows``; rows of a key are dealt out by ``by``.
+
+    The other side goes to the parts that a key has, ``salts`` at most. ``rows`` is read twice.
+    """
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64(by), F.lit(salts)))
+    there = salted.select(key, "salt").distinct().join(unique, key)
+    return salted.join(there, [key, "salt"], how).drop("salt")
+
+
+def _with_least(edges: DataFrame, neighbours: DataFrame) -> DataFrame:
+    """``edges`` with the least ``v`` of their ``u`` among ``neighbours``."""
+    return join_spread(edges, neighbours.groupBy("u").agg(F.min("v").alias("m")), "u", "v")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Tie every greater neighbour of a node to the least node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    tied = _with_least(both.where("v > u"), both)
+    return tied.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Tie a node and its lesser neighbours to the least of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    lesser = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return lesser.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    lesser = _with_least(edges, edges).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = edges.groupBy("u").agg(F.min("v").alias("v"))
+    return lesser.unionByName(least).distinct()

@@ -3,13 +3,20 @@
 Every document is the set of its distinct shingles of five words. Equal sets are one class
 with one representative. ``SIGNATURE`` minima per set are cut into bands; sets that agree on
 a band are candidates, and the low bits of all minima, packed, give a similarity corrected
-for chance agreement by counting equal groups of bits. Chains of likely pairs bound where
-links can be; there, links are confirmed on the full sets. Connected components of confirmed
-links are the groups.
+for chance agreement by counting equal groups of bits. Links are confirmed on the full sets.
+Connected components of confirmed links are the groups.
 
-Groups of any size are dealt out as pairs of blocks of at most about ``BLOCK`` sets, so no
-task holds a whole group, and a task returns a spanning forest of its links, not the links.
-Memory of a task: one pair of blocks.
+Large groups come first, in proportion to their size: every band names one of its sets as its
+star, every set is compared with the stars of its bands, and the likeliest one is confirmed
+(``stars`` rounds, each with other stars). After them, only sets of one band that lie in
+different components can still add a link. All such pairs are compared, without exception:
+the largest component of a band meets the rest of the band, not itself, in pairs of blocks
+of at most about ``block`` sets, and blocks of large sets hold fewer. Chains of likely pairs
+bound where links can be, and are confirmed in blocks in the same way. So m sets that are
+alike cost about m rows; m sets that share a band and are not linked cost m^2 / ``block``.
+
+No task holds a whole group, and a task returns a spanning forest of its links, not the
+links. Memory of a task: one pair of blocks, or the texts of one star.
 
 Defined results: null or wordless texts have an empty set and are linked with nothing.
 Repeated rows and equal texts share a component. Rows that share a ``doc_id`` are one
@@ -27,16 +34,16 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pressmark.llm.components import connected_components
+from pressmark.llm.components import connected_components, join_spread
 from pressmark.llm.words import SHINGLE, mix, shingle_sets
 from pressmark.session import stage
 
 
 @dataclass(frozen=True)
 class MinHash:
-    """Similarity in hundredths, bands times rows of minima, low bits kept, sets per block.
+    """Similarity in hundredths, bands times rows of minima, low bits kept, sets and shingles per block, rounds of stars.
 
     25 bands of 5 miss a pair at similarity 0.85 with probability 4e-7, 28 bands of 4 one at
     0.80 as often; the estimate is held against the threshold less five standard deviations.
@@ -49,6 +56,8 @@ class MinHash:
     signature: int = 128
     bits: int = 4
     block: int = 128
+    block_shingles: int = 2**19
+    stars: int = 2
     shingle: int = SHINGLE
 
     @property
@@ -101,14 +110,17 @@ def band_keys(least: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def equal_groups(left: np.ndarray, right: np.ndarray, bits: int) -> np.ndarray:
     """Of packed signatures (rows of 64-bit words): equal groups of ``bits`` for every left and right."""
-    differ = left[:, None, :] ^ right[None, :, :]
+    return _equal(left[:, None, :] ^ right[None, :, :], bits)
+
+
+def _equal(differ: np.ndarray, bits: int) -> np.ndarray:
     folded, width = differ, 1
     while width < bits:
         folded = folded | (folded >> np.uint64(width))
         width *= 2
     lowest = np.uint64(sum(1 << i for i in range(0, 64, bits)))
-    unequal = np.bitwise_count(folded & lowest).sum(axis=2, dtype=np.int64)
-    return left.shape[1] * (64 // bits) - unequal
+    unequal = np.bitwise_count(folded & lowest).sum(axis=-1, dtype=np.int64)
+    return differ.shape[-1] * (64 // bits) - unequal
 
 
 def _signed(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
@@ -186,19 +198,65 @@ def _edge_batch(edges: list[tuple[int, int]]) -> pa.RecordBatch:
 
 
 def _across(table: pa.Table) -> np.ndarray:
-    """Which pairs of rows belong to this pair of blocks."""
-    block = table.column("block").to_numpy()
-    if table.column("i")[0].as_py() == table.column("j")[0].as_py():
-        return ~np.eye(len(block), dtype=bool)
-    return block[:, None] != block[None, :]
+    """Which pairs of rows belong to this pair of blocks and may join components."""
+    block, component = table.column("block").to_numpy(), table.column("component").to_numpy()
+    apart = component[:, None] != component[None, :]
+    if table.column("i")[0].as_py() != table.column("j")[0].as_py():
+        apart &= block[:, None] != block[None, :]
+    return apart
+
+
+def _words(packed: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Packed signatures as rows of 64-bit words."""
+    return np.frombuffer(b"".join(packed.to_pylist()), dtype="<u8").reshape(len(packed), -1)
+
+
+def _similar_sizes(least: np.ndarray, most: np.ndarray, settings: MinHash) -> np.ndarray:
+    return 100 * least >= settings.percent * most
+
+
+def _alike(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
+    """Likely ones of pairs of a set and a star, with their equal groups."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        equal = _equal(_words(batch.column("packed")) ^ _words(batch.column("star_packed")), settings.bits)
+        own, other = batch.column("n_shingles").to_numpy(), batch.column("star_shingles").to_numpy()
+        likely = (equal >= settings.least_equal) & _similar_sizes(np.minimum(own, other), np.maximum(own, other), settings)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("rep"), batch.column("star"), pa.array(equal)], names=["rep", "star", "equal"]
+        ).filter(pa.array(likely))
+
+
+def _with_star(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
+    """Confirmed links of sets with their star, whose own texts come first; only these are held."""
+    place, leads = None, []
+    for batch in batches:
+        edges = []
+        for star, salt, rep, lead, packed in zip(*(batch.column(c).to_pylist() for c in ("star", "salt", "rep", "lead", "shingles"))):
+            if (star, salt) != place:
+                place, leads = (star, salt), []
+            own = np.frombuffer(packed, dtype="<u8")
+            if lead:
+                if not any(np.array_equal(own, other) for other in leads):
+                    leads.append(own)
+                continue
+            for other in leads:
+                small, large = sorted((own, other), key=len)
+                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+                common = int((large[at] == small).sum())
+                if 100 * common >= settings.percent * (len(own) + len(other) - common):
+                    edges.append((rep, star))
+                    break
+        yield _edge_batch(edges)
 
 
 def _likely(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
     def edges(table: pa.Table) -> list[tuple[int, int]]:
         ids, sizes = table.column("rep").to_numpy(), table.column("n_shingles").to_numpy()
-        words = np.frombuffer(b"".join(table.column("packed").to_pylist()), dtype="<u8").reshape(len(ids), -1)
+        words = _words(table.column("packed"))
         linked = equal_groups(words, words, settings.bits) >= settings.least_equal
-        linked &= 100 * np.minimum.outer(sizes, sizes) >= settings.percent * np.maximum.outer(sizes, sizes)
+        linked &= _similar_sizes(np.minimum.outer(sizes, sizes), np.maximum.outer(sizes, sizes), settings)
         return _forest(linked & _across(table), ids)
 
     return _edge_batches(edges(g) for g in groups_of(batches, ["key", "i", "j"]) if g.num_rows > 1)
@@ -235,21 +293,79 @@ def _confirmed(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator
 
 
 def _sets(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
+    """The column ``text`` replaced by the set of its shingles."""
     for batch in batches:
         packed = [s.tobytes() for _, s in shingle_sets(batch.column("text"), settings.shingle)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("key"), batch.column("size"), batch.column("rep"), pa.array(packed, pa.binary())],
-            names=["key", "size", "rep", "shingles"],
-        )
+        kept = [n for n in batch.schema.names if n != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(packed, pa.binary())], names=[*kept, "shingles"])
+
+
+def _sets_of(texts: DataFrame, wanted: DataFrame, settings: MinHash) -> DataFrame:
+    """``wanted`` (rep and others) with the sets of the texts of ``rep``."""
+    joined = texts.join(wanted, texts["doc_id"] == wanted["rep"]).select(*wanted.columns, "text")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.schema)
+    return joined.mapInArrow(partial(_sets, settings=settings), f"{schema}, shingles binary")
+
+
+def _apart(members: DataFrame, settings: MinHash) -> DataFrame:
+    """Members (key, rep, component, n_shingles) of keys with several components, with numbers of blocks.
+
+    ``bulk`` marks the largest component of a key, which fills ``bulks`` blocks; the others fill ``rests``.
+    """
+    parts = members.groupBy("key", "component").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    keys = parts.groupBy("key").agg(
+        F.max(F.struct("n", "component", "shingles")).alias("most"), F.sum("n").alias("n"), F.sum("shingles").alias("shingles")
+    ).where("n > most.n")
 
+    def blocks(n: str, shingles: str) -> Column:
+        return F.greatest(F.ceil(F.expr(n) / settings.block), F.ceil(F.expr(shingles) / settings.block_shingles)).cast("int")
 
-def _in_block_pairs(members: DataFrame, block: int) -> DataFrame:
-    """Deal the members of each ``key`` (of ``size`` members) to all pairs of its blocks, pairs together."""
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    paired = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    keys = keys.select(
+        "key", F.col("most.component").alias("most"), blocks("most.n", "most.shingles").alias("bulks"),
+        blocks("n - most.n", "shingles - most.shingles").alias("rests"),
+    )
+    return join_spread(members, keys, "key", "rep").withColumn("bulk", F.col("component") == F.col("most")).drop("most")
+
+
+def _in_block_pairs(apart: DataFrame) -> DataFrame:
+    """Deal members to the pairs of blocks of which one at least is of the rest; pairs together."""
+    blocks = F.when(F.col("bulk"), F.col("bulks")).otherwise(F.col("rests"))
+    block = F.pmod(F.xxhash64("rep"), blocks) + F.when(F.col("bulk"), 0).otherwise(F.col("bulks"))
+    first = F.when(F.col("bulk"), F.col("bulks")).otherwise(0)
+    dealt = apart.withColumn("block", block.cast("int"))
+    paired = dealt.withColumn("other", F.explode(F.sequence(first, F.col("bulks") + F.col("rests") - 1)))
     paired = paired.withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
-    return paired.drop("other", "size").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    paired = paired.drop("other", "bulk", "bulks", "rests")
+    return paired.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _named(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Members with their component under these links, of keys that hold several components."""
+    components = connected_components(links).withColumnRenamed("node", "rep")
+    named = members.drop("component").join(components, "rep", "left")
+    return named.withColumn("component", F.coalesce("component", "rep"))
+
+
+def _star_links(texts: DataFrame, members: DataFrame, classes: DataFrame, turn: int, settings: MinHash) -> DataFrame:
+    """Confirmed links of each set with the likeliest of the stars of its keys that lie in other components."""
+    drawn = F.xxhash64("rep", "key", F.lit(turn))
+    stars = members.groupBy("key").agg(F.min_by("rep", drawn).alias("star"), F.min_by("component", drawn).alias("lead"))
+    pairs = join_spread(members, stars, "key", "rep").where("component <> lead").select("rep", "star").distinct()
+    pairs = stage(pairs, "star_pairs")
+    other = classes.select(F.col("rep").alias("star"), F.col("packed").alias("star_packed"), F.col("n_shingles").alias("star_shingles"))
+    signed = join_spread(pairs, other, "star", "rep").join(classes.select("rep", "packed", "n_shingles"), "rep")
+    likely = signed.select("rep", "star", "packed", "star_packed", "n_shingles", "star_shingles")
+    likely = likely.mapInArrow(partial(_alike, settings=settings), "rep long, star long, equal long")
+    best = likely.groupBy("rep").agg(F.max(F.struct("equal", "star")).alias("best")).select("rep", "best.star")
+    best = stage(best.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(64))), "stars")
+    # a star goes once to every salt of its sets, and each wanted text is cut into shingles once
+    own = best.select("rep", "star", "salt", F.lit(False).alias("lead"))
+    lead = best.select(F.col("star").alias("rep"), "star", "salt", F.lit(True).alias("lead")).distinct()
+    wanted = own.unionByName(lead).groupBy("rep").agg(F.collect_list(F.struct("star", "salt", "lead")).alias("places"))
+    sets = _sets_of(texts, wanted, settings).select("rep", F.explode("places").alias("place"), "shingles")
+    sets = sets.select("place.star", "place.salt", "rep", "place.lead", "shingles").repartition("star", "salt")
+    sets = sets.sortWithinPartitions("star", "salt", F.col("lead").desc())
+    return sets.mapInArrow(partial(_with_star, settings=settings), "a long, b long")
 
 
 def near_duplicates(documents: DataFrame, settings: MinHash = MinHash()) -> DataFrame:
@@ -273,27 +389,32 @@ def near_duplicates(documents: DataFrame, settings: MinHash = MinHash()) -> Data
         ),
         "classes",
     )
-    # bands that several sets share
-    keyed = classes.select("rep", F.explode("bands").alias("key"))
-    shared = stage(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
-    members = keyed.join(shared, "key").join(classes.select("rep", "n_shingles", "packed"), "rep")
-    likely = _in_block_pairs(members, 2 * settings.block).mapInArrow(partial(_likely, settings=settings), "a long, b long")
-    chains = connected_components(likely)
-    # confirm within chains of likely pairs, on the sets of the whole texts
-    sizes = chains.groupBy("component").agg(F.count("*").alias("size"))
-    chained = stage(chains.join(sizes, "component").select(F.col("component").alias("key"), "size", F.col("node").alias("rep")), "chains")
-    sets = texts.join(chained, texts["doc_id"] == chained["rep"]).select("key", "size", "rep", "text")
-    sets = sets.mapInArrow(partial(_sets, settings=settings), "key long, size long, rep long, shingles binary")
-    confirmed = _in_block_pairs(sets, settings.block).mapInArrow(partial(_confirmed, settings=settings), "a long, b long")
     # several texts of one doc_id
     own = found.select("doc_id", "set_key").distinct()
     several = own.join(own.groupBy("doc_id").count().where("count > 1").select("doc_id"), "doc_id")
     several = several.join(classes.select("set_key", "rep"), "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    components = connected_components(confirmed.unionByName(several))
+    links = stage(several, "several")
+    # bands that several sets share
+    keyed = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
+    shared = stage(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
+    members = stage(_named(join_spread(keyed, shared.select("key"), "key", "rep"), links), "members")
+    for turn in range(settings.stars):
+        links = links.unionByName(stage(_star_links(texts, members, classes, turn, settings), "star_links"))
+        named = stage(_named(members, links), "named")
+        members = stage(_apart(named, settings).select("key", "rep", "n_shingles", "component"), "members")
+    # what is still apart: likely pairs on signatures, then within their chains on the sets of the whole texts
+    apart = _apart(members, settings).join(classes.select("rep", "packed"), "rep")
+    likely = _in_block_pairs(apart).mapInArrow(partial(_likely, settings=settings), "a long, b long")
+    chains = connected_components(likely).select(F.col("component").alias("key"), F.col("node").alias("rep"))
+    known = members.groupBy("rep").agg(F.first("component").alias("component"), F.max("n_shingles").alias("n_shingles"))
+    chained = stage(_apart(stage(chains.join(known, "rep"), "chains"), settings), "chained")
+    confirmed = _in_block_pairs(_sets_of(texts, chained, settings))
+    confirmed = confirmed.mapInArrow(partial(_confirmed, settings=settings), "a long, b long")
+    components = connected_components(links.unionByName(confirmed))
     reached = classes.select("set_key", "rep").join(
         components.withColumnRenamed("node", "rep"), "rep", "left"
     ).select("set_key", F.coalesce("component", "rep").alias("component_id"))
-    result = signed.select("doc_id", "n_shingles", "set_key").join(reached, "set_key", "left")
+    result = join_spread(signed.select("doc_id", "n_shingles", "set_key"), stage(reached, "reached"), "set_key", "doc_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select(
         "doc_id", "n_shingles", component.alias("component_id"),

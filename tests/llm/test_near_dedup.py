@@ -7,6 +7,7 @@ import pyarrow as pa
 import pytest
 from brute import components, rows, shingles, similarity
 
+from pressmark.llm import near_dedup
 from pressmark.llm.near_dedup import MinHash, equal_groups, low_bits, minima, near_duplicates, without_near_duplicates
 from pressmark.llm.words import shingle_sets
 
@@ -74,6 +75,21 @@ def test_large_group_over_many_blocks(spark):
     assert similarity(shingles(texts[-1][1]), shingles(texts[-2][1])) == 1
 
 
+def test_rows_grow_with_the_group(spark, monkeypatch):
+    pick, texts = random.Random(5), []
+    base = [f"w{pick.randrange(4000)}" for _ in range(200)]
+    for n in range(1500):
+        text = list(base)
+        text[pick.randrange(200)] = f"x{n}"
+        texts.append((n, " ".join(text)))
+    dealt = []
+    deal = near_dedup._in_block_pairs
+    monkeypatch.setattr(near_dedup, "_in_block_pairs", lambda apart: dealt.append(deal(apart).count()) or deal(apart))
+    found = near_duplicates(table(spark, texts), MinHash(block=16)).collect()
+    assert {r.component_id for r in found} == {0} and len(found) == 1500
+    assert sum(dealt) <= 1500
+
+
 def test_odd_rows(spark):
     long = " ".join(str(i) for i in range(60_000))
     given = [
