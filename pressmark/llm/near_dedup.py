@@ -348,7 +348,8 @@ def _named(members: DataFrame, links: DataFrame) -> DataFrame:
 
 def _star_links(texts: DataFrame, members: DataFrame, classes: DataFrame, turn: int, settings: MinHash) -> DataFrame:
     """Confirmed links of each set with the likeliest of the stars of its keys that lie in other components."""
-    drawn = F.xxhash64("rep", "key", F.lit(turn))
+    # drawn by the set alone, so bands of the same sets name the same star and few pairs are left
+    drawn = F.xxhash64("rep", F.lit(turn))
     stars = members.groupBy("key").agg(F.min_by("rep", drawn).alias("star"), F.min_by("component", drawn).alias("lead"))
     pairs = join_spread(members, stars, "key", "rep").where("component <> lead").select("rep", "star").distinct()
     pairs = stage(pairs, "star_pairs")
@@ -397,7 +398,7 @@ def near_duplicates(documents: DataFrame, settings: MinHash = MinHash()) -> Data
     # bands that several sets share
     keyed = classes.select("rep", "n_shingles", F.explode("bands").alias("key"))
     shared = stage(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "bands")
-    members = stage(_named(join_spread(keyed, shared.select("key"), "key", "rep"), links), "members")
+    members = stage(_named(keyed.join(shared.select("key"), "key"), links), "members")
     for turn in range(settings.stars):
         links = links.unionByName(stage(_star_links(texts, members, classes, turn, settings), "star_links"))
         named = stage(_named(members, links), "named")
