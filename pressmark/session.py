@@ -6,6 +6,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,23 +27,39 @@ def local_session(cores: str = "*", app: str = "pressmark") -> SparkSession:
     )
 
 
-_open_jobs: list[list[str]] = []
+# the tables of the job that is open in this thread or context; jobs of other threads have their own
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors reach: ``spark.checkpoint.dir``, else one in the session's warehouse."""
-    return spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/pressmark_stages"
+    """The folder all executors reach: ``spark.checkpoint.dir``, else one in the session's warehouse.
+
+    Without ``spark.checkpoint.dir``, a warehouse on local disks is an error unless the session runs on one machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if folder:
+        return folder
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    scheme = spark._jvm.org.apache.hadoop.fs.Path(warehouse).getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    check_reach(spark.sparkContext.master, scheme)
+    return f"{warehouse}/pressmark_stages"
+
+
+def check_reach(master: str, scheme: str) -> None:
+    """Raise where executors of ``master`` would each see a warehouse of their own."""
+    if not master.startswith("local") and scheme == "file":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach; the warehouse is on local disks")
 
 
 @contextmanager
 def job(spark: SparkSession) -> Iterator[None]:
-    """Remove the tables staged within, once what is made of them has been written."""
+    """Remove the tables staged within, by this thread, once what is made of them has been written."""
     paths: list[str] = []
-    _open_jobs.append(paths)
+    token = _staged.set(paths)
     try:
         yield
     finally:
-        _open_jobs.remove(paths)
+        _staged.reset(token)
         for path in paths:
             remove(spark, path)
 
@@ -55,7 +72,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    for paths in _open_jobs[-1:]:
+    if (paths := _staged.get()) is not None:
         paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
