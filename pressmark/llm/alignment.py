@@ -31,6 +31,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache, partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,8 @@ from pressmark.session import stage
 STRETCH = 1 << 20
 BLOCK = 1 << 20
 LANE = 512
-_KEPT_WORDS = 200_000
-_KEPT_TOKENS = 2_000_000
+_KEPT_WORDS = 300_000
+_KEPT_TOKENS = 3_000_000
 # words handed to the libraries at once, as their results are large
 _ENCODED = 2000
 # links of a larger group are counted by distinct ids instead of being written out
@@ -101,11 +102,19 @@ class Encoders:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.a_ids = self.b_ids = np.zeros(0, dtype=np.int64)
-        self.a_at = self.b_at = np.zeros(1, dtype=np.int64)
-        self.exact = np.zeros(0, dtype=bool)
+    def forget(self, but: set[str] = frozenset()) -> None:
+        """Drop all words but some."""
+        kept = [(w, self.words[w]) for w in but if w in self.words] if but else []
+        place = np.fromiter((i for _, i in kept), dtype=np.int64, count=len(kept))
+        self.words = {w: i for i, (w, _) in enumerate(kept)}
+        if not kept:
+            self.a_ids = self.b_ids = np.zeros(0, dtype=np.int64)
+            self.a_at = self.b_at = np.zeros(1, dtype=np.int64)
+            self.exact = np.zeros(0, dtype=bool)
+            return
+        self.a_ids, self.a_at = _taken(self.a_ids, self.a_at, place)
+        self.b_ids, self.b_at = _taken(self.b_ids, self.b_at, place)
+        self.exact = self.exact[place]
 
     def full(self) -> bool:
         return len(self.words) > _KEPT_WORDS or len(self.a_ids) + len(self.b_ids) > _KEPT_TOKENS
@@ -113,26 +122,46 @@ class Encoders:
     def learn(self, words: set[str]) -> None:
         """Encode the words not known yet."""
         unknown = [w for w in words if w not in self.words]
-        for begin in range(0, len(unknown), _ENCODED):
-            self._encode(unknown[begin : begin + _ENCODED])
-
-    def _encode(self, new: list[str]) -> None:
-        a = [e.ids for e in self.a.encode_batch([" " + w for w in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1)
-        exact = []
-        for word, own_a, own_b in zip(new, a, b):
-            data = b" " + word.encode()
-            exact.append(b"".join([self.a_bytes[i] for i in own_a]) == data == b"".join([self.b_bytes[i] for i in own_b]))
-        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        self.a_ids, self.a_at = _appended(self.a_ids, self.a_at, a)
-        self.b_ids, self.b_at = _appended(self.b_ids, self.b_at, b)
-        self.exact = np.concatenate((self.exact, np.array(exact, dtype=bool)))
-
-
-def _appended(ids: np.ndarray, at: np.ndarray, new: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    ends = at[-1] + np.cumsum([len(x) for x in new])
-    flat = np.fromiter((i for x in new for i in x), dtype=np.int64)
-    return np.concatenate((ids, flat)), np.concatenate((at, ends))
+        if not unknown:
+            return
+        parts = [self._encoded(unknown[i : i + _ENCODED]) for i in range(0, len(unknown), _ENCODED)]
+        a, a_count, b, b_count, exact = map(np.concatenate, zip(*parts))
+        self.words.update(zip(unknown, range(len(self.words), len(self.words) + len(unknown))))
+        self.a_ids, self.a_at = np.concatenate((self.a_ids, a)), np.concatenate((self.a_at, self.a_at[-1] + np.cumsum(a_count)))
+        self.b_ids, self.b_at = np.concatenate((self.b_ids, b)), np.concatenate((self.b_at, self.b_at[-1] + np.cumsum(b_count)))
+        self.exact = np.concatenate((self.exact, exact))
+
+    def _encoded(self, new: list[str]) -> tuple[np.ndarray, ...]:
+        """Ids of A and how many for each word, the same of B, and which words both spell."""
+        data = [b" " + w.encode() for w in new]
+        found = ([e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)],
+                 self.b.encode(new, num_threads=1))
+        parts, exact = [], np.ones(len(new), dtype=bool)
+        for ids, token_bytes in zip(found, (self.a_bytes, self.b_bytes)):
+            counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(new))
+            flat = list(chain.from_iterable(ids))
+            exact &= _spelt(data, flat, np.cumsum(counts), token_bytes)
+            parts += [np.array(flat, dtype=np.int64), counts]
+        return *parts, exact
+
+
+def _taken(ids: np.ndarray, at: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``ids`` at some places, and where they begin."""
+    counts = np.diff(at)[place]
+    return ids[_ranges(at[place], counts)], np.concatenate(([0], np.cumsum(counts)))
+
+
+def _spelt(words: list[bytes], ids: list[int], ends: np.ndarray, token_bytes: list[bytes]) -> np.ndarray:
+    """Which words are the joined bytes of their tokens; ``ends`` counts the tokens up to each word's last."""
+    tokens = list(map(token_bytes.__getitem__, ids))
+    bytes_before = np.concatenate(([0], np.cumsum(np.fromiter(map(len, tokens), dtype=np.int64, count=len(tokens)))))
+    made = np.diff(bytes_before[np.concatenate(([0], ends))])
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    exact = made == size
+    said = np.frombuffer(b"".join(tokens), dtype=np.uint8)[np.repeat(exact, made)]
+    given = np.frombuffer(b"".join(words), dtype=np.uint8)[np.repeat(exact, size)]
+    exact[np.repeat(np.flatnonzero(exact), size[exact])[said != given]] = False
+    return exact
 
 
 def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -191,11 +220,11 @@ def lockstep(a_ends: np.ndarray, b_ends: np.ndarray, a_at: np.ndarray, b_at: np.
 def align(texts: list[str], coder: Encoders) -> tuple[Groups, np.ndarray]:
     """Groups of a block of texts, and for each text whether both sides spell a space and the text."""
     cut = [_CUT.split(text) for text in texts]
+    met = set(chain.from_iterable(cut))
     if coder.full():
-        coder.forget()
-    coder.learn({word for words in cut for word in words})
-    number = coder.words.__getitem__
-    words = np.fromiter((number(w) for own in cut for w in own), dtype=np.int64)
+        coder.forget(but=met)
+    coder.learn(met)
+    words = np.fromiter(map(coder.words.__getitem__, chain.from_iterable(cut)), dtype=np.int64)
     text = np.repeat(np.arange(len(texts)), [len(own) for own in cut])
     del cut
     spelt = np.ones(len(texts), dtype=bool)

@@ -140,3 +140,19 @@ def test_groups_as_rows(spark, texts, plain):
         assert [(g.a, g.b) for g in row.groups] == plain.groups(text)
         if row.groups:
             assert row.groups[-1].end == len(text.encode()) + 1
+
+
+def test_words_of_the_block_at_hand_stay_known(monkeypatch, plain):
+    monkeypatch.setattr(al, "_KEPT_WORDS", 2)
+    coder = al.Encoders(FILES)
+    al.align(["one two three four"], coder)
+    met, encoded = [], coder._encoded
+    monkeypatch.setattr(coder, "_encoded", lambda new: met.extend(new) or encoded(new))
+    groups, spelt = al.align(["four five one"], coder)
+    assert met == ["five"] and set(coder.words) == {"one", "four", "five"} and spelt.all()
+    assert groups.a.tolist() == [i for a, _ in plain.groups("four five one") for i in a]
+
+
+def test_words_that_one_side_does_not_spell():
+    words, tokens = [b" ab", b" c", b" de", b" f", b" xy"], [b" a", b"b", b" C", b" d", b"e", b" ff"]
+    assert al._spelt(words, [0, 1, 2, 3, 4, 5], [2, 3, 5, 6, 6], tokens).tolist() == [True, False, True, False, False]
