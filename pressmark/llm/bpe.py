@@ -6,8 +6,8 @@ tokens, not merges; every split of a token into two tokens of lower rank is a me
 token's rank, so ids are those of an encoder that always joins the adjacent pair of lowest
 rank. Each match of the split pattern is encoded on its own, without special tokens.
 
-Words repeat, so a task hands each distinct piece to the library once and keeps the ids of at
-most ``_CACHED`` pieces; texts and Arrow batches are never cut. Decoding reverses the table of
+Words repeat, so a task hands a piece to the library once while it keeps its ids: those of the pieces
+met last, twice ``_CACHED`` at most. Texts and Arrow batches are never cut. Decoding reverses the table of
 bytes; a text decoder holds back a character whose bytes are split over two blocks of ids.
 
 Defined results: a null text is encoded as an empty one, an empty text has no ids and
@@ -31,7 +31,8 @@ import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from tokenizers import Tokenizer, models
 
-_CACHED = 600_000
+# more than the pieces that repeat; the ids of rare ones only take memory
+_CACHED = 100_000
 
 
 @lru_cache(maxsize=1)
@@ -62,6 +63,7 @@ class ByteBpe:
         self.library = Tokenizer(models.BPE({spelt[t]: r for t, r in ranks.items()}, merges, ignore_merges=True))
         self.spelling = dict(enumerate(table))
         self.known: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
 
     def pieces(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -76,11 +78,18 @@ class ByteBpe:
                 yield list(chain.from_iterable(map(self.known.__getitem__, pieces)))
 
     def _learn(self, pieces: set[str]) -> None:
-        """Have the library encode the pieces not known yet, each as a word of its own."""
-        new = list(pieces.difference(self.known))
-        if len(self.known) + len(new) > _CACHED:
-            self.known.clear()
-            new = list(pieces)
+        """Have the library encode the pieces not known yet, each as a word of its own.
+
+        Where there are too many, those known become the older ones, and older ones not met since are forgotten.
+        """
+        if len(self.known) > _CACHED:
+            self.known, self.older = {}, self.known
+        new = []
+        for piece in pieces.difference(self.known):
+            if (ids := self.older.get(piece)) is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
         spelt = [p.encode().decode("latin-1").translate(self.spelling) for p in new]
         found = self.library.encode(spelt, is_pretokenized=True, add_special_tokens=False)
         ids, words = found.ids, np.array(found.word_ids, dtype=np.int64)

@@ -231,7 +231,7 @@ def _alike(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.
 def _with_star(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
     """Confirmed links of sets with their star, whose own texts come first; only these are held."""
     place, leads = None, []
-    for batch in batches:
+    for batch in (part for whole in batches for part in _slices(whole)):
         edges = []
         for star, salt, rep, lead, packed in zip(*(batch.column(c).to_pylist() for c in ("star", "salt", "rep", "lead", "shingles"))):
             if (star, salt) != place:
@@ -293,11 +293,16 @@ def _confirmed(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator
 
 
 def _sets(batches: Iterator[pa.RecordBatch], settings: MinHash) -> Iterator[pa.RecordBatch]:
-    """The column ``text`` replaced by the set of its shingles."""
+    """The column ``text`` replaced by the set of its shingles, some rows at a time."""
     for batch in batches:
-        packed = [s.tobytes() for _, s in shingle_sets(batch.column("text"), settings.shingle)]
-        kept = [n for n in batch.schema.names if n != "text"]
-        yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), pa.array(packed, pa.binary())], names=[*kept, "shingles"])
+        for part in _slices(batch):
+            packed = [s.tobytes() for _, s in shingle_sets(part.column("text"), settings.shingle)]
+            kept = [n for n in batch.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([*(part.column(n) for n in kept), pa.array(packed, pa.binary())], names=[*kept, "shingles"])
+
+
+def _slices(batch: pa.RecordBatch, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, rows) for at in range(0, batch.num_rows, rows))
 
 
 def _sets_of(texts: DataFrame, wanted: DataFrame, settings: MinHash) -> DataFrame:

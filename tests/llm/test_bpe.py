@@ -87,3 +87,12 @@ def test_a_full_store_of_pieces_is_emptied(monkeypatch, wanted):
     monkeypatch.setattr(bpe, "_CACHED", 5)
     texts = ["one two three", "four five six seven eight nine", "one two"]
     assert list(bpe.ByteBpe(RANKS, PATTERN).encode(texts)) == [wanted.encode_ordinary(t) for t in texts]
+
+
+def test_pieces_met_again_stay_known(monkeypatch):
+    monkeypatch.setattr(bpe, "_CACHED", 4)
+    own = bpe.ByteBpe(RANKS, PATTERN)
+    first = list(own.encode(["the"]))
+    for i in range(50):
+        assert list(own.encode([f"the {chr(97 + i % 26)}{i}x"])) and list(own.encode(["the"])) == first
+        assert len(own.known) + len(own.older) <= 30
