@@ -197,21 +197,25 @@ def extract(
     return rows.select(*schemas.ARTICLES.fieldNames(), *carry, "reason")
 
 
-_SPLITS = 32
+# images used more often than this part of all uses are sent to every executor: fewer than as many
+_FREQUENT_IMAGES = 100_000
 
 
 def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
     """Fill in sizes a page does not declare from ``sizes(image_url, width, height)``.
 
-    Only the image URLs leave the article rows. Each URL is looked up once. Uses of an image
-    are spread over ``_SPLITS`` keys by the page, so one on every page is no hot key.
+    Only the image URLs leave the article rows; they are stored, so pages are read for them once. Each URL is looked up
+    once. Those in frequent use are sent to every executor, so one on every page is no hot key.
     """
-    used = articles.select("url", F.explode("images.image_url").alias("image_url"))
-    known = used.select("image_url").distinct().join(sizes, "image_url")
-    known = known.groupBy("image_url").agg(F.max(F.struct("width", "height")).alias("size"))
-    split = F.pmod(F.xxhash64("url"), F.lit(_SPLITS)).cast("int")
-    copies = known.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(_SPLITS - 1))))
-    pairs = used.withColumn("_split", split).join(copies, ["image_url", "_split"]).groupBy("url").agg(
+    used = stage(articles.select("url", F.explode("images.image_url").alias("image_url")), "used_images")
+    uses = used.groupBy("image_url").agg(F.count("*").alias("uses"))
+    known = stage(uses.join(sizes, "image_url").groupBy("image_url").agg(
+        F.max("uses").alias("uses"), F.max(F.struct("width", "height")).alias("size")), "known_images")
+    bound = used.count() / _FREQUENT_IMAGES
+    frequent, rare = (known.where(c).drop("uses") for c in (F.col("uses") > bound, F.col("uses") <= bound))
+    found = used.join(F.broadcast(frequent), "image_url", "left")
+    others = found.where(F.col("size").isNull()).drop("size").join(rare, "image_url")
+    pairs = found.where(F.col("size").isNotNull()).unionByName(others).groupBy("url").agg(
         F.collect_set(F.struct("image_url", "size")).alias("_sizes")
     )
 
