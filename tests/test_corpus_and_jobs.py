@@ -351,3 +351,52 @@ def test_stream_of_pages(spark, site, tmp_path):
     write_rows(pages, str(tmp_path / "out"), str(tmp_path / "state"), NEWS_LAYOUT).awaitTermination(60)
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert len(rows) == 6 and sum(r["reason"] is None for r in rows) == 4
+
+
+def test_a_model_beyond_memory_scores_from_its_tables(spark, learnable, tmp_path):
+    path = str(tmp_path / "model")
+    classify.fit(learnable, "text", Settings(features="vocabulary", max_terms=2**10)).save(spark, path)
+    odd = spark.createDataFrame([(7, "unknown words only"), (7, None), (None, "")], "doc_id long, text string")
+    prepared = classify.with_terms(learnable.select("doc_id", "text").unionByName(odd), "text")
+    stored = classify.load_stored(spark, path, Settings(broadcast_bytes=10))
+    assert isinstance(stored, classify.StoredClassifier) and isinstance(classify.load_stored(spark, path), classify.Classifier)
+    first, second = (
+        sorted(((r["doc_id"] is None, r["doc_id"] or 0, np.round(r["scores"], 9).tolist()) for r in m.scores(prepared, ["doc_id"]).collect()))
+        for m in (classify.load(spark, path), stored))
+    assert first == second
+
+
+def test_terms_are_counted_some_at_a_time(spark, learnable, monkeypatch):
+    def counted():
+        terms = classify.counted_terms(spark, F.col("terms"), Settings(max_terms=2**10), None)
+        rows = classify.with_terms(learnable, "text").select("doc_id", terms.alias("c")).orderBy("doc_id").collect()
+        return [(r["doc_id"], r["c"]["terms"], r["c"]["tf"]) for r in rows]
+
+    import pyarrow as pa
+
+    lists = pa.array([[1, 2, 3], [], [4], None, [5, 6], [7]])
+    monkeypatch.setattr(linear, "_CHUNK", 3)
+    assert [(s.start, s.stop) for s in linear.stretches(lists)] == [(0, 2), (2, 5), (5, 6)]
+    assert [(s.start, s.stop) for s in linear.stretches(lists.slice(2, 3))] == [(0, 3)]
+    few = counted()
+    monkeypatch.setattr(linear, "_CHUNK", 1 << 20)
+    assert few == counted()
+
+
+def test_a_group_of_problems_keeps_its_folds_only():
+    problems = linear.Problems(np.array([0, 1, 0, 1]), np.array([0, 0, 2, 2]), np.array([0, 1, 2]), np.arange(6.0).reshape(3, 2))
+    own = problems.only(np.array([3]))
+    assert own.folds.tolist() == [2] and own.scales.tolist() == [[4.0, 5.0]] and own.fold.tolist() == [2]
+    assert 78 * (2**18 + 1) * linear.STATE_BYTES > 3 * Settings().fit_bytes
+
+
+def test_terms_are_dealt_to_more_tasks_as_texts_grow(spark, monkeypatch):
+    from pressmark.operators import tfidf
+
+    documents = spark.createDataFrame([(1, "aa bb aa"), (1, "bb"), (None, "cc"), (2, None)], "doc_id long, text string")
+    for stored in (1, 100 * tfidf._PART_BYTES):
+        monkeypatch.setattr("pressmark.session._stored_bytes", lambda df: stored)
+        counts = tfidf.term_counts(documents)
+        assert counts.rdd.getNumPartitions() == max(stored // tfidf._PART_BYTES, spark.sparkContext.defaultParallelism)
+        assert sorted((r["doc_id"] or 0, r["term"], r["tf"]) for r in counts.where("not term like '% %'").collect()) == [
+            (0, "cc", 1), (1, "aa", 2), (1, "bb", 2)]
