@@ -238,3 +238,17 @@ def test_archive_links(spark):
     months = archive.month_archives(spark, "http://h/", *archive.month_range("02/2011", "04/2011"))
     found = {tuple(r) for r in archive.site_links(frame, months).collect()}
     assert found == {("http://h/2011/03/", f"http://h/2011/03/{x}.html") for x in "abc"}
+
+
+@pytest.mark.parametrize("frequent", [1, 100_000])
+def test_sizes_of_frequent_and_rare_images(spark, monkeypatch, frequent):
+    monkeypatch.setattr(A, "_FREQUENT_IMAGES", frequent)
+    given = [(f"p{i}", [("logo", None, "9"), (f"b{i}", None, None)]) for i in range(40)] + [("none", []), (None, [("logo", None, None)])]
+    rows = spark.createDataFrame(given, "url string, images array<struct<image_url: string, image_width: string, image_height: string>>")
+    rows = rows.withColumn("images", F.transform("images", lambda i: i.withField("image_caption", F.lit(""))))
+    sizes = spark.createDataFrame([("logo", 3, 4), ("logo", 2, 7), ("b1", 5, 6), (None, 1, 1)], "image_url string, width int, height int")
+    filled = A.with_image_sizes(rows, sizes)
+    assert "Generate explode(sequence" not in filled._jdf.queryExecution().toString()
+    found = {r["url"]: [(i["image_width"], i["image_height"]) for i in r["images"]] for r in filled.collect()}
+    assert found == {None: [(None, None)], "none": []} | {
+        f"p{i}": [("3", "9"), ("5", "6") if i == 1 else (None, None)] for i in range(40)}
