@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressmark.llm.samples import fold, labelled_sample
+from pressmark.llm.samples import fitted, fold, labelled_sample
 from pressmark.llm.words import row_chunks, word_hashes
 
 ROWS = 256
@@ -156,11 +156,15 @@ def train(documents: DataFrame, labels: DataFrame, label: str, settings: Neighbo
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("label")], names=["counts", "label"])
 
     sample = labelled_sample(documents, labels.select("doc_id", F.col(label).cast("int").alias("label")), ["label"], settings.sample)
-    rows = sorted(sample.mapInArrow(vectors, "counts binary, label int").collect())  # at most settings.sample rows
-    counts = np.zeros((len(rows), settings.features + 1), dtype=np.float32)
-    for count, row in zip(counts, rows):
-        count[:] = np.frombuffer(zlib.decompress(row["counts"]), dtype="<u4")
-    return _fit(counts, np.array([r["label"] for r in rows], dtype=np.float32), settings)
+
+    def of(table: pa.Table) -> VoteModel:
+        rows = sorted(zip(table["counts"].to_pylist(), table["label"].to_pylist()))  # at most settings.sample rows
+        counts = np.zeros((len(rows), settings.features + 1), dtype=np.float32)
+        for count, (packed, _) in zip(counts, rows):
+            count[:] = np.frombuffer(zlib.decompress(packed), dtype="<u4")
+        return _fit(counts, np.array([label for _, label in rows], dtype=np.float32), settings)
+
+    return fitted(sample.mapInArrow(vectors, "counts binary, label int"), of)
 
 
 def score(text: Column, model: Broadcast) -> Column:

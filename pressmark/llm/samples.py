@@ -1,7 +1,12 @@
-"""Bounded samples of labelled rows, for models that are fitted on the driver."""
+"""Bounded samples of labelled rows, and models fitted on them in one task."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -24,3 +29,16 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, columns: list[str],
     # no more than ``rows`` narrow rows, so this side can be sent to every task
     texts = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     return texts.groupBy("doc_id", *columns).agg(F.min("text").alias("text")).select("text", *columns)
+
+
+def fitted(sample: DataFrame, fit: Callable[[pa.Table], Any]) -> Any:
+    """What ``fit`` makes of a bounded sample, worked out in one task: the driver holds the result, not the rows."""
+    names = sample.columns
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if sum(batch.num_rows for batch in held):
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(pa.Table.from_batches(held).select(names)))], pa.binary())], names=["model"])
+
+    found = sample.repartition(1).mapInArrow(whole, "model binary").collect()
+    return pickle.loads(found[0]["model"]) if found else fit(sample.limit(0).toArrow())

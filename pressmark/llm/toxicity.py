@@ -7,8 +7,8 @@ predictions: a text's probability is that of a model that has not seen it or an
 The last category is the verdict, so every earlier model has a say in it. A model
 has a weight for every hashed word of its training rows.
 
-Models are fitted on the driver from a bounded sample of labelled rows (``Chain.sample``),
-whose texts become hashed words in the tasks. Scoring is one narrow pass.
+Models are fitted in one task from a bounded sample of labelled rows (``Chain.sample``),
+whose texts become hashed words in the tasks before. Scoring is one narrow pass.
 
 Defined results: null and wordless texts are scored by the intercepts and earlier
 probabilities alone. A text at the threshold is rejected. Repeated rows stay and an empty table
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressmark.llm.samples import labelled_sample
+from pressmark.llm.samples import fitted, labelled_sample
 from pressmark.llm.words import row_chunks, word_hashes
 from pressmark.operators.linear import Descent
 
@@ -166,10 +166,12 @@ def train(documents: DataFrame, labels: DataFrame, categories: list[str], chain:
 
     sample = labelled_sample(documents, labels, categories, chain.sample)
     wanted = F.array(*[F.col(c).cast("double") for c in categories]).alias("wanted")
-    sample = sample.select("text", wanted).mapInArrow(hashed, "words binary, wanted array<double>")
-    rows = sorted((bytes(r["words"]), r["wanted"]) for r in sample.collect())  # at most chain.sample rows
-    target = np.array([w for _, w in rows]).reshape(len(rows), len(categories))
-    return fit_chain([np.frombuffer(w, dtype="<u4") for w, _ in rows], target, chain)
+    def fit(table: pa.Table) -> list[Linear]:
+        rows = sorted(zip(table["words"].to_pylist(), table["wanted"].to_pylist()))  # at most chain.sample rows
+        target = np.array([w for _, w in rows]).reshape(len(rows), len(categories))
+        return fit_chain([np.frombuffer(w, dtype="<u4") for w, _ in rows], target, chain)
+
+    return fitted(sample.select("text", wanted).mapInArrow(hashed, "words binary, wanted array<double>"), fit)
 
 
 def probabilities(text: Column, models: Broadcast, bits: int = Chain.bits) -> Column:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 import zlib
 
@@ -224,3 +225,15 @@ def test_sample_is_bounded_when_one_id_holds_many_rows(spark):
         [("text 1000", 0), ("text 1000", 1), *((f"text {1000 + i}", i % 2) for i in range(300, 900))]
     )
     assert labelled_sample(documents, labels, ["label"], 50).count() == 50
+
+
+def test_models_are_fitted_in_a_task(spark, monkeypatch):
+    """Fits of the pipeline's samples add nothing to the driver's memory."""
+    documents = spark.createDataFrame([(i, f"text {i % 7}") for i in range(20)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, label int")
+    monkeypatch.setattr(quality, "_fit", lambda counts, *_: (os.getpid(), len(counts)))
+    monkeypatch.setattr(toxicity, "fit_chain", lambda rows, *_: (os.getpid(), len(rows)))
+    for place, rows in (quality.train(documents, labels, "label"), toxicity.train(documents, labels, ["label"])):
+        assert place != os.getpid() and rows == 20
+    assert quality.train(documents, labels.limit(0), "label")[1] == 0
+    assert toxicity.train(documents, labels.limit(0), ["label"])[1] == 0
