@@ -3,6 +3,7 @@ from __future__ import annotations
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -400,3 +401,37 @@ def test_terms_are_dealt_to_more_tasks_as_texts_grow(spark, monkeypatch):
         assert counts.rdd.getNumPartitions() == max(stored // tfidf._PART_BYTES, spark.sparkContext.defaultParallelism)
         assert sorted((r["doc_id"] or 0, r["term"], r["tf"]) for r in counts.where("not term like '% %'").collect()) == [
             (0, "cc", 1), (1, "aa", 2), (1, "bb", 2)]
+
+
+def test_a_pass_sums_in_a_task_a_core_and_one_fit_makes_room_for_the_next(spark, monkeypatch):
+    """Sums of all problems leave each task: their number must not follow that of the files."""
+    rows = [(i % 3, [label for label in range(3) if i % (label + 2) == 0], [i % 2, 2 + i % 3, 5 + i % 5], [1, 2, 1]) for i in range(200)]
+    table = spark.createDataFrame(rows, "fold int, labels array<int>, terms array<int>, tf array<int>").repartition(30)
+
+    @F.arrow_udf("binary")
+    def bytes_of(column: pa.Array) -> pa.Array:
+        return linear.packed(column)
+
+    packed = table.select("fold", "labels", bytes_of("terms").alias("terms"), bytes_of("tf").alias("tf"))
+    problems = linear.Problems(np.array([0, 1, 2, 0]), np.array([-1, -1, -1, 1]), np.array([-1, 1]), np.ones((2, 10)))
+    parts = []
+    real = type(packed).mapInArrow
+
+    def noted(df, function, schema, *args, **kwargs):
+        if "places" in schema:
+            parts.append(df.rdd.getNumPartitions())
+        return real(df, function, schema, *args, **kwargs)
+
+    monkeypatch.setattr(type(packed), "mapInArrow", noted)
+    passed = linear.losses_and_slopes
+    trial = np.random.default_rng(1).standard_normal((4, 11)).astype(np.float32)
+    for squares in (False, True):
+        a, b = (passed(t, problems, trial, 1.0, 3, squares) for t in (table, packed))
+        assert np.allclose(a[0], b[0]) and np.allclose(a[1], b[1], atol=1e-4)
+    assert parts == [min(30, spark.sparkContext.defaultParallelism)] * 4
+    monkeypatch.undo()
+    few = packed.coalesce(2).cache()
+    together = linear.fit_together(few, problems, 3, 1.0, 1e-3, 100)
+    apart = linear.fit_together(few, problems, 3, 1.0, 1e-3, 100, held=3)
+    assert np.allclose(together.weights, apart.weights, atol=1e-3) and (apart.slopes <= 1e-3).all()
+    assert together.passes <= apart.passes < 2 * together.passes
