@@ -435,3 +435,23 @@ def test_a_pass_sums_in_a_task_a_core_and_one_fit_makes_room_for_the_next(spark,
     apart = linear.fit_together(few, problems, 3, 1.0, 1e-3, 100, held=3)
     assert np.allclose(together.weights, apart.weights, atol=1e-3) and (apart.slopes <= 1e-3).all()
     assert together.passes <= apart.passes < 2 * together.passes
+
+
+@pytest.mark.parametrize("weights", [0, 40, 2**21])
+def test_terms_of_scores_by_tables_are_not_shuffled_by_document(spark, learnable, tmp_path, monkeypatch, weights):
+    model = classify.fit(learnable, "text", Settings(features="vocabulary", max_terms=2**10))
+    path = str(tmp_path / "model")
+    model.save(spark, path)
+    monkeypatch.setattr(classify, "_BROADCAST_WEIGHTS", weights)
+    documents = learnable.select("doc_id", "text")
+    twice = documents.unionByName(documents.limit(3)).unionByName(spark.createDataFrame([(None, "cats and dogs")], "doc_id long, text string"))
+    scored = classify.score_by_tables(twice, path)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert not any("hashpartitioning(doc_id" in line and "term" in line.split("hashpartitioning(doc_id")[1].split(")")[0] for line in plan.splitlines())
+    found = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["category"], r["score"]) for r in scored.collect())
+    memory = {r["doc_id"]: r["scores"] for r in model.scores(classify.with_terms(documents, "text"), ["doc_id"]).collect()}
+    names = [category for _, category, _ in model.index]
+    assert len(found) == len(names) * twice.count()
+    for doc, category, score in found:
+        wanted = model.intercepts if doc == -1 else memory[doc]
+        assert abs(score - wanted[names.index(category)]) < 1e-9
