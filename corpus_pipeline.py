@@ -9,6 +9,8 @@ operators.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from pressmark.llm import bpe, decontamination, near_dedup, quality, toxicity
@@ -41,12 +43,28 @@ def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, RANKS, PATTERN)
 
 
+#: Most rows of a batch that goes to a Python worker: batches hold whole texts, on both sides of the pipe.
+BATCH_ROWS = 1000
+
+
+def in_small_batches(function: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """The same stage, with no more than ``BATCH_ROWS`` rows in a batch; the session keeps that setting."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+            spark.conf.set(name, str(BATCH_ROWS))
+        return function(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality", good_quality),
-    ("toxicity", not_toxic),
-    ("near_duplicates", one_of_each),
-    ("decontamination", without_benchmark),
-    ("tokens", tokenised),
+    ("quality", in_small_batches(good_quality)),
+    ("toxicity", in_small_batches(not_toxic)),
+    ("near_duplicates", in_small_batches(one_of_each)),
+    ("decontamination", in_small_batches(without_benchmark)),
+    ("tokens", in_small_batches(tokenised)),
 ]
 
 #: Trained models and token merges are beyond SQL; tests compare the pipeline with plain versions.

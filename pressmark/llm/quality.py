@@ -90,12 +90,16 @@ def _repeats(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1, in place."""
     length = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))[:, None]
-    return rows / np.maximum(length, 1e-12).astype(np.float32)
+    rows /= np.maximum(length, 1e-12).astype(np.float32)
+    return rows
 
 
-def _weighted(counts: np.ndarray, idf: np.ndarray, repeats: float) -> np.ndarray:
-    terms = np.log1p(counts, dtype=np.float32) * idf
+def _weighted(counts: np.ndarray, idf: np.ndarray, repeats: float, own: bool = False) -> np.ndarray:
+    """Weighted terms of length 1; counts in single precision that are the caller's ``own`` become them in place."""
+    terms = np.log1p(counts, out=counts) if own else np.log1p(counts, dtype=np.float32)
+    terms *= idf
     terms[:, -1] *= repeats
     return _unit(terms)
 
@@ -107,8 +111,10 @@ def fit(texts: pa.Array, labels: np.ndarray, settings: Neighbours = Neighbours()
 
 
 def _fit(counts: np.ndarray, labels: np.ndarray, settings: Neighbours) -> VoteModel:
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + np.float32(1)
-    rows = _weighted(counts, idf, settings.repeats)
+    """``counts``, in single precision, are used up."""
+    holding = sum(((counts[at : at + ROWS] > 0).sum(axis=0) for at in range(0, len(counts), ROWS)), np.zeros(counts.shape[1], dtype=np.int64))
+    idf = np.log((1 + len(counts)) / (1 + holding)).astype(np.float32) + np.float32(1)
+    rows = _weighted(counts, idf, settings.repeats, own=True)
     axes = _singular_vectors(rows, settings.dimensions)
     return VoteModel(settings, idf, axes, _unit(rows @ axes), np.asarray(labels, dtype=np.float32))
 

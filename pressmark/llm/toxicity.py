@@ -35,6 +35,8 @@ from pressmark.operators.linear import Descent
 _BETWEEN = ~np.isin(np.arange(256), [*range(65, 91), *range(97, 123), *range(128, 256)])
 
 
+# pairs of row and word that a fit copies at once
+PAIRS = 1 << 16
 # rows at which a word's correlation with a category counts a quarter
 RARE = 4
 
@@ -88,13 +90,35 @@ def text_words(column: pa.Array, bits: int) -> Iterator[tuple[int, np.ndarray, n
         yield len(offsets) - 1, pairs >> bits, pairs & ((1 << bits) - 1)
 
 
+def _pieces(pairs: int) -> Iterator[slice]:
+    return (slice(begin, begin + PAIRS) for begin in range(0, pairs, PAIRS))
+
+
+def _sums(at: np.ndarray, values: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+    """The sums of ``values[of]`` by ``at``, added in order; no more than ``PAIRS`` values are copied at once."""
+    total = np.zeros(size)
+    for piece in _pieces(len(at)):
+        np.add.at(total, at[piece], values[of[piece]])
+    return total
+
+
+def _chosen(values: np.ndarray, number: np.ndarray, row: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``number[values]`` of the pairs whose ``row`` is one of ``rows`` (a mask)."""
+    return np.concatenate([number[values[piece][rows[row[piece]]]] for piece in _pieces(len(row))] or [number[:0]])
+
+
 def _fit_one(row: np.ndarray, word: np.ndarray, earlier: np.ndarray, wanted: np.ndarray, chain: Chain) -> Linear:
     share, n = float(wanted.mean()) if len(wanted) else 0.0, len(wanted)
     if share in (0.0, 1.0):
         return Linear(np.zeros(0, np.int64), np.zeros(0), np.zeros(earlier.shape[1]), 50.0 * (2 * share - 1))
-    seen, place = np.unique(word, return_inverse=True)
-    held = np.bincount(place, minlength=len(seen)).astype(float)
-    both = np.bincount(place, weights=wanted[row], minlength=len(seen))
+    number = np.zeros(1 << chain.bits, dtype=np.int32)
+    for piece in _pieces(len(word)):
+        number[word[piece]] = 1
+    seen = np.flatnonzero(number).astype(word.dtype)
+    number[seen] = np.arange(len(seen), dtype=np.int32)
+    place = _chosen(word, number, row, np.ones(n, dtype=bool))
+    held = _sums(place, np.ones(n), row, len(seen))
+    both = _sums(place, wanted, row, len(seen))
     # squared correlation of each word with the category, less for rare words: what tells little is held back more
     gain = (both - held * share) ** 2 / np.maximum(held * (n - held) * share * (1 - share), 1e-9) * (held / (held + RARE)) ** 2
     weights = _logistic(row, place, gain, earlier, wanted, chain)
@@ -106,13 +130,13 @@ def _logistic(row: np.ndarray, place: np.ndarray, gain: np.ndarray, earlier: np.
     n, words = len(wanted), len(gain)
     ridge = np.concatenate((np.full(words, chain.ridge), np.full(earlier.shape[1], chain.earlier), [0.0]))
     ridge[:words] /= np.maximum(gain, 1e-4) ** chain.trust
-    squares = np.concatenate((np.bincount(place, minlength=words), (earlier**2).sum(axis=0), [n])) / n
+    squares = np.concatenate((_sums(place, np.ones(n), row, words), (earlier**2).sum(axis=0), [n])) / n
     descent = Descent(np.zeros(len(ridge), dtype=np.float32), (0.25 * squares + ridge + 1e-8).astype(np.float32))
     for _ in range(chain.rounds):
         at = descent.trial().astype(np.float64)
-        logit = np.bincount(row, weights=at[place], minlength=n) + earlier @ at[words:-1] + at[-1]
+        logit = _sums(row, at, place, n) + earlier @ at[words:-1] + at[-1]
         off = (_sigmoid(logit) - wanted) / n
-        slope = np.concatenate((np.bincount(place, weights=off[row], minlength=words), off @ earlier, [off.sum()])) + ridge * at
+        slope = np.concatenate((_sums(place, off, row, words), off @ earlier, [off.sum()])) + ridge * at
         loss = float(np.mean(np.logaddexp(0, logit) - wanted * logit)) + 0.5 * float(ridge @ at**2)
         descent.take(loss, slope, 8)
         if descent.ratio() <= chain.tolerance:
@@ -123,6 +147,7 @@ def _logistic(row: np.ndarray, place: np.ndarray, gain: np.ndarray, earlier: np.
 def fit_chain(rows: list[np.ndarray], wanted: np.ndarray, chain: Chain = Chain()) -> list[Linear]:
     """Models in order; ``rows`` are sorted distinct words of each text, ``wanted`` rows by categories."""
     n = len(rows)
+    every = np.arange(1 << chain.bits, dtype=np.int32)
     row = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     word = np.concatenate(rows).astype(np.int32) if n else np.zeros(0, dtype=np.int32)
     fold = np.array([int(r.astype(np.int64).sum()) * 2654435761 % 2**32 % chain.folds for r in rows], dtype=np.int64)
@@ -133,12 +158,10 @@ def fit_chain(rows: list[np.ndarray], wanted: np.ndarray, chain: Chain = Chain()
         held_out = np.zeros(n)
         for k in range(chain.folds):
             train, test = fold != k, fold == k
-            number = np.cumsum(train) - 1
-            part = train[row]
-            model = _fit_one(number[row[part]], word[part], earlier[train], target[train], chain)
-            number = np.cumsum(test) - 1
-            part = test[row]
-            held_out[test] = model.probabilities(number[row[part]], word[part], earlier[test])
+            number = (np.cumsum(train) - 1).astype(np.int32)
+            model = _fit_one(_chosen(row, number, row, train), _chosen(word, every, row, train), earlier[train], target[train], chain)
+            number = (np.cumsum(test) - 1).astype(np.int32)
+            held_out[test] = model.probabilities(_chosen(row, number, row, test), _chosen(word, every, row, test), earlier[test])
         earlier = np.column_stack((earlier, held_out))
     return models
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -237,3 +238,23 @@ def test_models_are_fitted_in_a_task(spark, monkeypatch):
         assert place != os.getpid() and rows == 20
     assert quality.train(documents, labels.limit(0), "label")[1] == 0
     assert toxicity.train(documents, labels.limit(0), ["label"])[1] == 0
+
+
+def _peak(work) -> int:
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_fits_copy_little_of_their_sample():
+    rng = np.random.default_rng(3)
+    rows = [np.unique(rng.integers(0, 5000, 900)).astype("<u4") for _ in range(1500)]
+    pairs = sum(map(len, rows))
+    wanted = rng.integers(0, 2, (1500, 2)).astype(float)
+    few = toxicity.Chain(rounds=3)
+    assert _peak(lambda: toxicity.fit_chain(rows, wanted, few)) < 32 * pairs + 2**22
+    counts = rng.integers(0, 3, (3000, 1025)).astype(np.float32)
+    assert _peak(lambda: quality._fit(counts, wanted[:, 0].repeat(2), quality.Neighbours(features=1024))) < counts.nbytes / 2
