@@ -455,3 +455,42 @@ def test_terms_of_scores_by_tables_are_not_shuffled_by_document(spark, learnable
     for doc, category, score in found:
         wanted = model.intercepts if doc == -1 else memory[doc]
         assert abs(score - wanted[names.index(category)]) < 1e-9
+
+
+def test_terms_go_to_the_parts_of_a_model_once(spark, learnable, tmp_path, monkeypatch):
+    from pressmark.operators import tfidf
+
+    model = classify.fit(learnable, "text", Settings(features="vocabulary", max_terms=2**10))
+    path = str(tmp_path / "model")
+    model.save(spark, path)
+    sent = []
+    real = type(learnable).mapInArrow
+
+    def noted(df, function, schema, *args, **kwargs):
+        out = real(df, function, schema, *args, **kwargs)
+        sent.append(out)
+        return out
+
+    monkeypatch.setattr(type(learnable), "mapInArrow", noted)
+    monkeypatch.setattr(classify, "_ROWS", 3)
+    monkeypatch.setattr(classify, "_CELLS", 1)
+    monkeypatch.setattr(classify, "_PART_TEXT", 1)  # every part is held by several tasks
+    extra = spark.createDataFrame([(2000, "zzunknown zzwords"), (2001, "zzunknown " * 50)], "doc_id long, text string")
+    documents = learnable.select("doc_id", "text").unionByName(extra)
+    monkeypatch.setattr(tfidf, "parts", lambda documents: 1)
+    monkeypatch.setattr(tfidf, "_PART_BYTES", 20)
+    scored = classify.score_by_tables(documents, path)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "(term#" in line]
+    asked, back = sent
+    rows = [(r["key"], r["part"], r["text"].split("\n")) for r in asked.collect()]
+    assert len({(key, part) for key, part, _ in rows}) == len(rows)
+    known = set(model.vocabulary)
+    wanted = {(r["doc_id"], t) for r in classify.with_terms(documents, "text").collect() for t in r["terms"] if t in known}
+    assert wanted <= {(key, t) for key, _, terms in rows for t in terms}
+    assert not [key for key, _, _ in rows if key >= 2000]
+    assert back.count() <= len(rows)
+    found = {(r["doc_id"], r["category"]): r["score"] for r in scored.collect()}
+    names = [category for _, category, _ in model.index]
+    for r in model.scores(classify.with_terms(documents, "text"), ["doc_id"]).collect():
+        assert np.allclose(r["scores"], [found[r["doc_id"], n] for n in names], atol=1e-9)
