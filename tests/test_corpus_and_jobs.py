@@ -494,3 +494,64 @@ def test_terms_go_to_the_parts_of_a_model_once(spark, learnable, tmp_path, monke
     names = [category for _, category, _ in model.index]
     for r in model.scores(classify.with_terms(documents, "text"), ["doc_id"]).collect():
         assert np.allclose(r["scores"], [found[r["doc_id"], n] for n in names], atol=1e-9)
+
+
+def test_few_rows_are_fitted_whole_in_tasks(spark, monkeypatch):
+    """No pass of its own is a job where all rows fit a task; more rows take the same steps in jobs."""
+    pick = np.random.default_rng(6)
+    rows = []
+    for i in range(200):
+        terms = sorted(pick.choice(400, size=pick.integers(0, 40), replace=False).tolist())
+        rows.append((int(i % 3), [label for label in range(3) if pick.random() < 0.2 + 0.6 * (label in terms)], terms, pick.integers(1, 300, len(terms)).tolist()))
+    table = spark.createDataFrame(rows, "fold int, labels array<int>, terms array<int>, tf array<int>").repartition(5).cache()
+    scale = pick.random((3, 400)) + 0.5
+    problems = linear.Problems(np.tile(np.arange(3), 3), np.repeat(np.arange(3), 3), np.arange(3), scale)
+    apart = linear.fit_together(table, problems, 3, 1.0, 1e-6, 300)
+    monkeypatch.setattr(linear, "losses_and_slopes", None)
+    terms = sum(len(r[2]) for r in rows)
+    for piece, state in ((1 << 15, linear._TASK_STATE), (7, 0)):
+        monkeypatch.setattr(linear, "_PIECE", piece)
+        monkeypatch.setattr(linear, "_CHUNK", 64 * piece)
+        monkeypatch.setattr(linear, "_TASK_STATE", state)
+        found = linear.fit_together(table, problems, 3, 1.0, 1e-6, 300, terms=terms)
+        assert np.allclose(found.weights, apart.weights, atol=1e-4) and (found.slopes <= 1e-6).all()
+        loose = linear.fit_together(table, problems, 3, 1.0, 1e-3, 300, terms=terms)
+        assert (loose.slopes <= 1e-3).all() and np.abs(loose.weights - apart.weights).max() < 0.1
+    with pytest.raises(linear.NotConverged, match="[89] of 9"):
+        linear.fit_together(table, problems, 3, 1.0, 1e-6, 2, terms=terms)
+    with pytest.raises(TypeError):
+        linear.fit_together(table, problems, 3, 1.0, 1e-6, 300, terms=linear._WHOLE + 1)
+
+
+def test_rows_sum_alike_by_row_and_by_term(monkeypatch):
+    monkeypatch.setattr(linear, "_PIECE", 50)
+    monkeypatch.setattr(linear, "_CHUNK", 300)
+    pick = np.random.default_rng(2)
+    lists = [np.sort(pick.choice(90, size=n, replace=False)) for n in pick.integers(0, 60, 40)]
+    tf = [pick.integers(1, 70_000, len(x)) for x in lists]
+    columns = [pa.array([x.tolist() for x in y], pa.list_(pa.int32())) for y in (lists, tf)]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([0] * 40, pa.int32()), pa.array([[i % 2] for i in range(40)], pa.list_(pa.int32())), *columns], names=["fold", "labels", "terms", "tf"])
+    chunks = list(linear.chunks_of(batch, 2))
+    dense = np.zeros((40, 90))
+    for line, x, n in zip(dense, lists, tf):
+        line[x] = n
+    again = [linear._from_bytes(pa.py_buffer(linear._to_bytes(own))) for own in chunks]
+    for a, b in zip(chunks, again):
+        assert (a.terms == b.terms).all() and (a.tf == b.tf).all() and (a.at == b.at).all() and (a.marks == b.marks).all()
+    assert len(chunks) > 3 and np.concatenate([own.marks[1] for own in again]).tolist() == [-1, 1] * 20
+    tables, pulled = pick.standard_normal((5, 90)), pick.standard_normal((5, 40))
+    pulled[:2, 5:] = 0
+    columns = linear.Columns(again)
+    margins = np.concatenate([own.margins(tables, wide=w) for own in chunks for w in [np.ascontiguousarray(tables.T)]], axis=1)
+    for power in (1, 2):
+        slopes = np.zeros((2, 5, 90))
+        first = 0
+        for own in chunks:
+            own.add_slopes(pulled[:, first : first + len(own.folds)], slopes[0], power)
+            first += len(own.folds)
+        columns.add_slopes(pulled, slopes[1], power)
+        assert np.allclose(slopes, pulled @ dense**power)
+        plain = np.concatenate([own.margins(tables, power) for own in chunks], axis=1)
+        assert np.allclose(plain, tables @ dense.T**power) and np.allclose(columns.margins(tables, power), plain)
+    assert np.allclose(margins, tables @ dense.T)
