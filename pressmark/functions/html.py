@@ -154,11 +154,11 @@ def all_inner_html(
     def element(pieces: Column, piece: Column, i: Column) -> Column:
         whole = F.regexp_count(piece, closed) >= F.regexp_count(piece, opened)
         rest = F.when(whole, piece).otherwise(F.array_join(F.slice(pieces, i + 1, F.size(pieces)), ""))
-        return body(_cut_element(rest, selector.tag))
+        return once(_cut_element(rest, selector.tag), body)  # the body names it several times
 
     def elements(pieces: Column) -> Column:
         found = F.transform(pieces, lambda piece, i: F.when(i > 0, element(pieces, piece, i)))
-        return F.slice(found, 2, F.size(found))
+        return once(found, lambda f: F.slice(f, 2, F.size(f)))
 
     # the space keeps an opening at the very beginning from being the first piece
     return once(F.split(F.concat(F.lit(" "), html), rf"(?is)(?={selector.open_tag()})"), elements)

@@ -84,7 +84,9 @@ def images(section: Column, url: Column, layout: Layout) -> Column:
         return F.array().cast(schemas.ARTICLES["images"].dataType)
 
     def image(figure: Column) -> Column:
-        tag = F.get(H.open_tags(figure, Selector("img")), F.lit(0))
+        return once(F.get(H.open_tags(figure, Selector("img")), F.lit(0)), lambda tag: found_image(figure, tag))
+
+    def found_image(figure: Column, tag: Column) -> Column:
         caption = H.text_of(figure, layout.caption) if layout.caption else F.lit(None).cast("string")
 
         def described(source: Column) -> Column:
@@ -204,10 +206,11 @@ _FREQUENT_IMAGES = 100_000
 def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
     """Fill in sizes a page does not declare from ``sizes(image_url, width, height)``.
 
-    Only the image URLs leave the article rows; they are stored, so pages are read for them once. Each URL is looked up
-    once. Those in frequent use are sent to every executor, so one on every page is no hot key.
+    Only the image URLs leave the article rows; they are stored, a row a page, so pages are read for them once (exploded at once,
+    Spark would look for their images a second time to drop pages without any). Each URL is looked up once. Those in frequent use are sent to every executor, so one on every page is no hot key.
     """
-    used = stage(articles.select("url", F.explode("images.image_url").alias("image_url")), "used_images")
+    used = stage(articles.select("url", F.col("images.image_url").alias("image_urls")), "used_images")
+    used = used.select("url", F.explode("image_urls").alias("image_url"))
     uses = used.groupBy("image_url").agg(F.count("*").alias("uses"))
     known = stage(uses.join(sizes, "image_url").groupBy("image_url").agg(
         F.max("uses").alias("uses"), F.max(F.struct("width", "height")).alias("size")), "known_images")
@@ -219,8 +222,8 @@ def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
         F.collect_set(F.struct("image_url", "size")).alias("_sizes")
     )
 
-    def filled(image: Column) -> Column:
-        size = F.element_at(F.map_from_entries(F.col("_sizes")), image["image_url"])
+    def filled(image: Column, known: Column) -> Column:
+        size = F.element_at(known, image["image_url"])
         return F.struct(
             image["image_url"].alias("image_url"),
             image["image_caption"].alias("image_caption"),
@@ -229,7 +232,8 @@ def with_image_sizes(articles: DataFrame, sizes: DataFrame) -> DataFrame:
         )
 
     joined = articles.join(pairs, "url", "left")
-    return joined.withColumn("images", F.transform("images", filled)).drop("_sizes")
+    all_filled = once(F.map_from_entries("_sizes"), lambda known: F.transform("images", lambda image: filled(image, known)))
+    return joined.withColumn("images", all_filled).drop("_sizes")
 
 
 def accepted(rows: DataFrame) -> DataFrame:

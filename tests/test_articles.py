@@ -7,6 +7,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
+from pressmark.functions import html as H
 from pressmark.operators import articles as A, authors
 from pressmark.operators.articles import NEWS_LAYOUT
 from pressmark.sources import archive, images, pages
@@ -252,3 +253,37 @@ def test_sizes_of_frequent_and_rare_images(spark, monkeypatch, frequent):
     found = {r["url"]: [(i["image_width"], i["image_height"]) for i in r["images"]] for r in filled.collect()}
     assert found == {None: [(None, None)], "none": []} | {
         f"p{i}": [("3", "9"), ("5", "6") if i == 1 else (None, None)] for i in range(40)}
+
+
+def test_images_are_found_once_for_their_sizes(spark, monkeypatch, tmp_path):
+    """Stored with an explode on top, pages without images were dropped by a filter that finds all images first."""
+    plans = []
+    real = A.stage
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+        return real(df, name)
+
+    monkeypatch.setattr(A, "stage", noted)
+    html = '<div id="main"><p class="date">March 1, 2011</p><figure class="article-image"><img src="i.png"></figure></div>'
+    pages = spark.createDataFrame([("http://h/a.html", html), ("http://h/b.html", html.replace("figure", "span"))], "url string, html string")
+    pages.write.parquet(str(tmp_path / "pages"))
+    sizes = spark.createDataFrame([("http://h/i.png", 3, 4)], "image_url string, width int, height int")
+    rows = A.extract(spark.read.parquet(str(tmp_path / "pages")), A.NEWS_LAYOUT, sizes=sizes)
+    found = {r["url"]: [(i["image_width"], i["image_height"]) for i in r["images"]] for r in rows.collect()}
+    assert found == {"http://h/a.html": [("3", "4")], "http://h/b.html": []}
+    (plan,) = [plan for name, plan in plans if name == "used_images"]
+    opened = "<figure(?=[" # the pattern of a figure's opening tag, looked for in three places of one extraction
+    assert plan.count("Filter") == 0 and 0 < plan.count(opened)
+
+
+def test_an_element_is_cut_once_however_often_its_body_names_it(spark):
+    page = '<i></i><figure class="x">one</figure><figure class="x">two <figure class="x">three</figure></figure>'
+    figure = H.Selector("figure", "class", "x")
+    once = H.all_inner_html(F.col("p"), figure)
+    often = H.all_inner_html(F.col("p"), figure, lambda f: F.concat(f, F.lit("|"), f, F.lit("|"), f))
+    sizes = [spark.range(1).select(F.lit(page).alias("p"), F.col("id")).select("id", x.alias("x")) for x in (once, often)]
+    assert [r["x"] for r in sizes[1].collect()] == [["|".join([t] * 3) for t in r["x"]] for r in sizes[0].collect()]
+    assert [len(r["x"]) for r in sizes[0].collect()] == [3]
+    cuts = [x._jdf.queryExecution().analyzed().toString().count("named_struct(tags") or x._jdf.queryExecution().analyzed().toString().count("tags, regexp_extract_all") for x in sizes]
+    assert cuts[0] == cuts[1] > 0
